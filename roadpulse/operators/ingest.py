@@ -20,26 +20,30 @@ INVALID_JSON = "INVALID_JSON"
 NOT_AN_OBJECT = "NOT_AN_OBJECT"
 
 
+def _once(df: DataFrame, name: str, expr: Column) -> DataFrame:
+    """Adds a column that later filters cannot inline.
+
+    Predicates are pushed below a projection by copying its expressions into them, which
+    would parse the text anew for every rule; they are not pushed below a generator.
+    """
+    return df.select("*", F.explode(F.array(expr)).alias(name))
+
+
 def json_fields(df: DataFrame, value: str = "value") -> DataFrame:
     """Adds ``_text`` (field values as text) and ``_type`` (their JSON types).
 
     Types come from the VARIANT form: null means absent and VOID an explicit null, while
     a plain ``from_json`` reads a number as text and merges the two kinds of null.
     """
-    variant = F.try_parse_json(F.col(value))
     types = F.struct(
         *[
             F.schema_of_variant(F.try_variant_get("_variant", f"$.{name}", "variant")).alias(name)
             for name in RAW_FIELDS
         ]
     )
-    return (
-        df.withColumn("_variant", variant)
-        .withColumn("_root", F.schema_of_variant("_variant"))
-        .withColumn("_type", types)
-        .withColumn("_text", F.from_json(F.col(value), RAW))
-        .drop("_variant")
-    )
+    parsed = _once(df, "_variant", F.try_parse_json(F.col(value)))
+    parsed = _once(parsed, "_root", F.schema_of_variant("_variant"))
+    return _once(_once(parsed, "_type", types).drop("_variant"), "_text", F.from_json(F.col(value), RAW))
 
 
 def validation_rules(strict_status: bool = False) -> list[tuple[str, Column]]:
@@ -94,7 +98,7 @@ def validate(df: DataFrame, value: str = "value", strict_status: bool = False) -
     )
     first = F.get("reasons", F.lit(0))
     return (
-        fields.withColumn("reasons", reasons)
+        _once(fields, "reasons", reasons)
         .withColumn("error", F.when(first == "SPEED_RANGE", speed_text).otherwise(first))
         .withColumn("is_valid", F.size("reasons") == 0)
         .drop("_root", "_type")
