@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions.casts import percent, round_dec
 from roadpulse.functions.quantiles import exact_percentiles
-from roadpulse.schema import BOROUGHS, CONGESTION_LEVELS, HOURLY_BOROUGH, WINDOW_SUMMARY
+from roadpulse.schema import CONGESTION_LEVELS, HOURLY_BOROUGH, WINDOW_SUMMARY
 from roadpulse.session import as_of_column, materialize
 
 _KEYS = ["window_start", "borough"]
@@ -159,7 +159,7 @@ def level_counts_pivot(df: DataFrame) -> DataFrame:
         with_window(df)
         .groupBy(*_KEYS)
         .pivot("congestion_level", CONGESTION_LEVELS)
-        .agg(F.count("*"))
+        .agg(F.count(F.lit(1)))
         .fillna(0, CONGESTION_LEVELS)
     )
 
@@ -171,6 +171,3 @@ def stats_with_levels(df: DataFrame) -> DataFrame:
     )
     return base.join(level_counts_pivot(df), _KEYS, "left")
 
-
-def known_borough_counts() -> list[Column]:
-    return [F.count_if(F.col("borough") == name).alias(f"n_{name.lower().replace(' ', '_')}") for name in BOROUGHS]

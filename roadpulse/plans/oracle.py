@@ -183,4 +183,7 @@ def with_views(sql: str) -> str:
     if not needed:
         return sql.strip()
     prefix = ",\n".join(f"{name} AS ({VIEWS[name].strip()})" for name in needed)
-    return f"WITH {prefix}\n{sql.strip()}"
+    body = sql.strip()
+    if body.startswith("WITH "):
+        return f"WITH {prefix},\n{body[5:]}"
+    return f"WITH {prefix}\n{body}"
