@@ -3,8 +3,8 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.functions.casts import safe_double, safe_int
-from roadpulse.functions.keys import message_key
+from roadpulse.functions.casts import round_dec, safe_double, safe_int
+from roadpulse.functions.keys import dedup_key, message_key
 from roadpulse.schema import (
     BOROUGHS,
     MAX_PLAUSIBLE_MPH,
@@ -130,14 +130,9 @@ def valid_rows(validated: DataFrame, topic: str = "validated", **options) -> Dat
     flat = validated.where("is_valid").select("*", "_text.*").drop("_text")
     carried = [c for c in validated.columns if c not in ("_text", "reasons", "error", "is_valid")]
     enriched = enrich(flat, **options)
-    known = F.to_json(F.struct(*RAW_FIELDS, "_pipeline"))
-    extra = F.map_filter(
-        F.from_json("value", "map<string,string>"), lambda k, v: ~k.isin(RAW_FIELDS + ["_pipeline"])
-    )
-    merged = F.when(
-        F.size(extra) > 0,
-        F.concat(F.rtrim(known, F.lit("}")), F.lit("}},"), F.substring(F.to_json(extra), 2, 2147483647)),
-    ).otherwise(known)
+    fields = F.map_filter(F.from_json("value", "map<string,variant>"), lambda name, _: name != "_pipeline")
+    typed = F.create_map(F.lit("_pipeline"), F.to_variant_object("_pipeline"))
+    merged = F.to_json(F.map_concat(fields, typed))
     return enriched.withColumn("value", merged).withColumn("topic", F.lit(topic)).select(*carried)
 
 
@@ -171,3 +166,18 @@ def raw_envelope(rows: DataFrame, topic: str = "raw") -> DataFrame:
         F.to_json(F.struct(*fields)).alias("value"),
         F.lit(topic).alias("topic"),
     )
+
+
+def poll_statistics(rows: DataFrame, elapsed_seconds: float | Column = 60.0, errors: int = 0) -> DataFrame:
+    """Fetched, distinct and repeated readings of a poll, and the rate per minute."""
+    key = dedup_key(F.col("id"), F.col("link_id"), F.col("data_as_of"))
+    per_key = rows.groupBy(key.alias("k")).agg(F.count("*").alias("n"))
+    elapsed = F.lit(elapsed_seconds) if not isinstance(elapsed_seconds, Column) else elapsed_seconds
+    fetched = F.coalesce(F.sum("n"), F.lit(0))
+    return per_key.agg(
+        fetched.alias("fetched"),
+        fetched.alias("published"),
+        (fetched - F.count("*")).alias("duplicates"),
+        F.lit(errors).cast("bigint").alias("errors"),
+        round_dec(fetched / F.greatest(elapsed / 60.0, F.lit(0.01)), 1).alias("rate_per_min"),
+    )

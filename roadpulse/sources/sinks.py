@@ -34,8 +34,10 @@ def write_processed(df: DataFrame, path: str, batch_id: int | str) -> None:
 
 
 def merge_rows(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """New rows, and the old ones whose key they do not replace."""
-    kept = old.join(new.select(*keys).distinct(), keys, "left_anti")
+    """New rows, and the old ones whose key they do not replace; null equals null in a key."""
+    replaced = new.select(*[F.col(k).alias(f"_new_{k}") for k in keys]).distinct()
+    same = [old[k].eqNullSafe(replaced[f"_new_{k}"]) for k in keys]
+    kept = old.join(replaced, same, "left_anti")
     return new.unionByName(kept, allowMissingColumns=True)
 
 
