@@ -11,8 +11,12 @@ from roadpulse.sources.sinks import write_batch
 from roadpulse.streaming.processing import TablePaths, with_trigger
 
 
-def without_duplicates(envelope: DataFrame, delay: str = "10 minutes", enabled: bool = True) -> DataFrame:
-    """Drops rows whose reading was seen within ``delay``; the state is bounded by it."""
+def without_duplicates(envelope: DataFrame, delay: str = "24 hours", enabled: bool = True) -> DataFrame:
+    """Drops rows whose reading was seen within ``delay``, which also bounds the state.
+
+    Rows that arrive later than ``delay`` behind the newest one are dropped as well, so it
+    has to cover the lag between topic partitions.
+    """
     if not enabled:
         return envelope
     reading = F.from_json("value", RAW)
