@@ -26,19 +26,41 @@ def _cell(value: Column, scale: float) -> Column:
     )
 
 
-def _descend(targets: DataFrame, counts: DataFrame, keys: list[str], bucket: str) -> DataFrame:
-    """Move every target into the bucket that holds its rank."""
-    per_bucket = counts.groupBy(*keys, bucket).agg(F.sum("n").alias("n"))
-    running = Window.partitionBy(*keys).orderBy(bucket)
-    ranged = per_bucket.withColumn("_end", F.sum("n").over(running)).withColumn(
-        "_start", F.col("_end") - F.col("n")
-    )
+_TARGET = ["_name", "_side", "_weight", "_rank"]
+
+
+def _hits(df: DataFrame, group: list[str], bucket: str) -> DataFrame:
+    """Rows whose bucket holds the wanted rank, with the rank counted from the bucket's start."""
+    running = Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0)
+    ranged = df.withColumn("_end", F.sum("n").over(running)).withColumn("_start", F.col("_end") - F.col("n"))
     hit = (F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_end"))
+    return ranged.where(hit).withColumn("_rank", F.col("_rank") - F.col("_start")).drop("n", "_start", "_end")
+
+
+def _first_targets(counts: DataFrame, keys: list[str], cell: str, probabilities: dict[str, float]) -> DataFrame:
+    """The coarse cell and rank of both neighbours of every wanted position."""
+    per_cell = counts.groupBy(*keys, cell).agg(F.sum("n").alias("n"))
+    group = Window.partitionBy(*keys)
+    running = group.orderBy(cell).rowsBetween(Window.unboundedPreceding, 0)
+    ranged = per_cell.withColumn("_end", F.sum("n").over(running)).withColumn(
+        "_total", F.sum("n").over(group.orderBy(cell).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    )
+    sides = []
+    for name, p in probabilities.items():
+        position = F.lit(float(p)) * (F.col("_total") - 1)
+        upper = position - F.floor(position)
+        for side, rank, weight in (("lo", F.floor(position), 1 - upper), ("hi", F.ceil(position), upper)):
+            sides.append(
+                F.struct(
+                    F.lit(name).alias("_name"), F.lit(side).alias("_side"), weight.alias("_weight"), rank.alias("_rank")
+                )
+            )
+    start = F.col("_end") - F.col("n")
+    wanted = F.filter(F.array(*sides), lambda t: (t["_rank"] >= F.col("_start")) & (t["_rank"] < F.col("_end")))
     return (
-        targets.join(ranged, keys)
-        .where(hit)
-        .withColumn("_rank", F.col("_rank") - F.col("_start"))
-        .drop("n", "_start", "_end")
+        ranged.withColumn("_start", start)
+        .select(*keys, cell, "_start", F.explode(wanted).alias("_t"))
+        .select(*keys, cell, "_t._name", "_t._side", "_t._weight", (F.col("_t._rank") - F.col("_start")).alias("_rank"))
     )
 
 
@@ -58,34 +80,18 @@ def exact_percentiles(
     for name, scale in zip(cells, scales):
         counts = counts.withColumn(name, _cell(F.col(value), scale))
 
-    position = [
-        F.struct(
-            F.lit(name).alias("_name"),
-            (F.lit(float(p)) * (F.col("_total") - 1)).alias("_position"),
-        )
-        for name, p in probabilities.items()
-    ]
-    wanted = (
-        counts.groupBy(*keys)
-        .agg(F.sum("n").alias("_total"))
-        .select(*keys, F.explode(F.array(*position)).alias("_p"))
-        .select(*keys, "_p._name", "_p._position")
-        .withColumn("_rank", F.explode(F.array(F.floor("_position"), F.ceil("_position"))))
-        .withColumn("_weight", 1 - F.abs(F.col("_position") - F.col("_rank")))
-        .withColumn("_weight", F.when(F.ceil("_position") == F.floor("_position"), 0.5).otherwise(F.col("_weight")))
-        .drop("_position")
-    )
-    path = list(keys)
-    for name in cells:
-        wanted = _descend(wanted, counts, path, name)
-        path = path + [name]
-        counts = counts.join(wanted.select(*path).distinct(), path, "left_semi")
-    wanted = _descend(wanted, counts, path, value)
-    picked = [
-        F.sum(F.when(F.col("_name") == name, F.col(value) * F.col("_weight"))).alias(name)
-        for name in probabilities
-    ]
-    return wanted.groupBy(*keys).agg(*picked)
+    targets = _first_targets(counts, keys, cells[0], probabilities)
+    path = [*keys, cells[0]]
+    for cell in cells[1:]:
+        inside = counts.join(targets, path).groupBy(*path, *_TARGET, cell).agg(F.sum("n").alias("n"))
+        targets = _hits(inside, [*path, "_name", "_side"], cell)
+        path = [*path, cell]
+    inside = counts.join(targets, path).select(*path, *_TARGET, value, "n")
+    found = _hits(inside, [*path, "_name", "_side"], value)
+    # The weight of an absent neighbour is 0, so an infinite value cannot turn the sum into NaN here.
+    share = F.when(F.col("_weight") > 0, F.col(value) * F.col("_weight"))
+    picked = [F.sum(F.when(F.col("_name") == name, share)).alias(name) for name in probabilities]
+    return found.groupBy(*keys).agg(*picked)
 
 
 def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:

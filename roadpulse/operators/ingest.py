@@ -86,22 +86,21 @@ def _is_integer(text: Column) -> Column:
 def validate(df: DataFrame, value: str = "value", strict_status: bool = False) -> DataFrame:
     """Adds ``reasons``, ``error`` (the first reason in words) and ``is_valid``."""
     fields = json_fields(df, value)
-    reasons = F.array_compact(
-        F.array(
-            *[F.when(F.coalesce(bad, F.lit(False)), reason) for reason, bad in validation_rules(strict_status)]
-        )
-    )
+    # One text first: the array form would filter its nulls with a function that is not compiled.
+    found = F.concat_ws(",", *[F.when(bad, reason) for reason, bad in validation_rules(strict_status)])
     speed_text = F.concat(
         F.lit("Speed "),
         F.col("_text.speed"),
         F.lit(f" mph is out of plausible range ({MIN_PLAUSIBLE_MPH:.0f}-{MAX_PLAUSIBLE_MPH:.0f})"),
     )
-    first = F.get("reasons", F.lit(0))
+    first = F.nullif(F.substring_index("_found", ",", 1), F.lit(""))
+    none = F.array().cast("array<string>")
     return (
-        _once(fields, "reasons", reasons)
+        _once(fields, "_found", found)
+        .withColumn("reasons", F.when(F.col("_found") == "", none).otherwise(F.split("_found", ",")))
         .withColumn("error", F.when(first == "SPEED_RANGE", speed_text).otherwise(first))
-        .withColumn("is_valid", F.size("reasons") == 0)
-        .drop("_root", "_type")
+        .withColumn("is_valid", F.col("_found") == "")
+        .drop("_root", "_type", "_found")
     )
 
 
@@ -130,9 +129,15 @@ def valid_rows(validated: DataFrame, topic: str = "validated", **options) -> Dat
     flat = validated.where("is_valid").select("*", "_text.*").drop("_text")
     carried = [c for c in validated.columns if c not in ("_text", "reasons", "error", "is_valid")]
     enriched = enrich(flat, **options)
-    fields = F.map_filter(F.from_json("value", "map<string,variant>"), lambda name, _: name != "_pipeline")
-    typed = F.create_map(F.lit("_pipeline"), F.to_variant_object("_pipeline"))
-    merged = F.to_json(F.map_concat(fields, typed))
+    # A valid reading is a non-empty object, so its text can be extended before the last brace;
+    # only one that already carries an enrichment is taken apart to replace it.
+    text = F.rtrim("value", F.lit(" \t\r\n"))
+    extended = F.concat(
+        F.left(text, F.length(text) - 1), F.lit(',"_pipeline":'), F.to_json("_pipeline"), F.lit("}")
+    )
+    others = F.map_filter(F.from_json("value", "map<string,variant>"), lambda name, _: name != "_pipeline")
+    replaced = F.to_json(F.map_concat(others, F.create_map(F.lit("_pipeline"), F.to_variant_object("_pipeline"))))
+    merged = F.when(F.contains("value", F.lit('"_pipeline"')), replaced).otherwise(extended)
     return enriched.withColumn("value", merged).withColumn("topic", F.lit(topic)).select(*carried)
 
 

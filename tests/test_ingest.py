@@ -81,6 +81,14 @@ def test_valid_rows_keep_every_field_and_add_typed_copies(spark, seed):
     assert rows[0]["topic"] == "validated" and rows[0]["offset"] == 0
 
 
+def test_an_earlier_enrichment_is_replaced(spark):
+    old = json.dumps(variant(_pipeline={"speed_float": 1.0})) + " \n"
+    row = ingest.valid_rows(ingest.validate(frame(spark, [old, json.dumps(variant()) + " \n"]))).orderBy("offset").collect()
+    for r in row:
+        assert r["value"].count("_pipeline") == 1
+        assert json.loads(r["value"])["_pipeline"]["speed_float"] == 47.84
+
+
 def test_rejected_rows_keep_the_payload(spark):
     validated = ingest.validate(frame(spark, ["{broken", variant()]))
     rows = ingest.rejected_rows(validated).collect()
