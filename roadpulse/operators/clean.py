@@ -22,11 +22,12 @@ def _optional(df: DataFrame, name: str, kind: str) -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast(kind)
 
 
-def clean(df: DataFrame, processed_at: Column | None = None) -> DataFrame:
+def clean(df: DataFrame, processed_at: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Typed, enriched and flagged readings in the PROCESSED schema.
 
     Typed values of an earlier enrichment win over the raw text. ``processed_at`` defaults
-    to an existing column of that name, else to the clock of the query.
+    to an existing column of that name, else to the clock of the query. Columns named in
+    ``keep`` are carried along unchanged.
     """
     missing = [name for name in ("speed", "data_as_of", "link_id", "borough") if name not in df.columns]
     if missing:
@@ -57,7 +58,7 @@ def clean(df: DataFrame, processed_at: Column | None = None) -> DataFrame:
         _optional(df, "kafka_timestamp", "timestamp").alias("kafka_timestamp"),
         _optional(df, "kafka_partition", "int").cast("int").alias("kafka_partition"),
         _optional(df, "kafka_offset", "bigint").cast("bigint").alias("kafka_offset"),
-        *[F.col(extra) for extra in ("batch_id",) if extra in df.columns],
+        *keep,
     )
     speed, ts = F.col("speed"), F.col("data_as_of_parsed")
     dated = parsed.withColumns(
@@ -74,4 +75,4 @@ def clean(df: DataFrame, processed_at: Column | None = None) -> DataFrame:
             "phase": F.lit("stream_processing"),
             "processor_version": F.lit(PROCESSOR_VERSION),
         }
-    ).select(*PROCESSED.fieldNames(), *[c for c in ("batch_id",) if c in df.columns])
+    ).select(*PROCESSED.fieldNames(), *keep)

@@ -56,6 +56,7 @@ def raw_readings(events: DataFrame) -> DataFrame:
         ident.alias("kafka_offset"),
         (ts + F.make_interval(secs=ident % 7)).alias("processed_at"),
         F.floor(ident / 1000).cast("bigint").alias("batch_id"),
+        F.col("value").alias("raw_value"),
     )
 
 
@@ -126,12 +127,11 @@ class Tables:
 
     @cached_property
     def traffic(self) -> DataFrame:
-        return cleaning.clean(self.raw)
+        return cleaning.clean(self.raw, keep=("batch_id",))
 
     @cached_property
     def predicted(self) -> DataFrame:
-        values = self.events.select(F.col("event_id").alias("kafka_offset"), F.col("value").alias("raw_value"))
-        return with_predictions(self.traffic.join(values, "kafka_offset"))
+        return with_predictions(cleaning.clean(self.raw, keep=("batch_id", "raw_value")))
 
     @cached_property
     def hourly_stats(self) -> DataFrame:
