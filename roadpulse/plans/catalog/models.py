@@ -311,3 +311,16 @@ _LONG = (
 @query("m21_evaluation_report", " UNION ALL ".join(_LONG))
 def m21(t):
     return evaluate.evaluation_report(t.predicted)
+
+
+@query(
+    "j3_append_predictions",
+    f"""SELECT record_id, speed, congestion_level, {rd('predicted_speed', 6)} AS predicted_speed, predicted_congestion,
+        {rd('congestion_confidence', 6)} AS congestion_confidence, {rd('anomaly_score', 6)} AS anomaly_score, is_anomaly
+        FROM traffic_pred_fx""",
+)
+def j3(t):
+    return t.predicted.select(
+        "record_id", "speed", "congestion_level", *_r("predicted_speed"), "predicted_congestion",
+        *_r("congestion_confidence", "anomaly_score"), "is_anomaly",
+    )

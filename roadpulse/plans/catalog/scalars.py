@@ -6,11 +6,13 @@ from roadpulse.functions import casts, keys, traffic
 from roadpulse.operators import clean as cleaning
 from roadpulse.operators import ingest, serving
 from roadpulse.operators.quality import with_invalid
+from roadpulse.operators.reports import flatten_hourly, map_points
 from roadpulse.plans.catalog.core import query
 from roadpulse.plans.fixtures import AS_OF
 from roadpulse.plans.oracle import AS_OF as NOW
 from roadpulse.plans.oracle import FLAGS, borough_code, level, level_code, level_name, rd
 from roadpulse.schema import QUALITY_FLAGS
+from roadpulse.sources.envelope import backfill
 
 
 def _speed():
@@ -195,8 +197,6 @@ def c19(t):
 
 @query("c20_flatten_hourly", "SELECT * FROM hourly_flat_fx")
 def c20(t):
-    from roadpulse.operators.reports import flatten_hourly
-
     return flatten_hourly(t.hourly)
 
 
@@ -402,8 +402,6 @@ def f10(t):
        AND longitude BETWEEN -74.3 AND -73.7 AND speed IS NOT NULL""",
 )
 def f11(t):
-    from roadpulse.operators.reports import map_points
-
     return map_points(t.traffic).select("record_id", "latitude", "longitude")
 
 
@@ -441,6 +439,4 @@ def p1(t):
        try_cast(data_as_of AS TIMESTAMP) AS data_as_of_parsed FROM checked_fx c WHERE is_object""",
 )
 def s2(t):
-    from roadpulse.sources.envelope import backfill
-
     return backfill(t.messages).select("kafka_offset", "record_id", "speed", "data_as_of_parsed")
