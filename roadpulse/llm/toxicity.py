@@ -7,7 +7,7 @@ pairs, whatever the corpus.
 
 Defined results: null and empty texts get the score of the bias alone; long texts are read
 whole; equal texts get equal scores; without labels every score is 0.5 and every prediction 1;
-rows without doc_id are scored and count as held out = null; further columns are ignored.
+rows without doc_id are scored; further columns are ignored.
 """
 
 import re
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.llm.common import WordHashes, mixed, small_batches
 
-BITS = 20
+BITS = 22
 #: At most so many labelled rows are used for fitting.
 MAX_ROWS = 6_000
 
@@ -40,8 +40,13 @@ def slots_of(text: str | None, hashes: WordHashes) -> np.ndarray:
     return np.unique((np.concatenate(both) >> np.uint64(64 - BITS)).astype(np.uint32))
 
 
-def ftrl(rows: list[tuple[np.ndarray, int]], epochs: int = 8, alpha: float = 0.05, beta: float = 1.0, l1: float = 1.0, l2: float = 1.0) -> Weights:
-    """Fit on (slots, label) in the given order, ``epochs`` times."""
+def ftrl(rows: list[tuple[np.ndarray, int]], epochs: int = 6, alpha: float = 3.0, beta: float = 1.0, l1: float = 10.0, l2: float = 0.0, min_rows: int = 5) -> Weights:
+    """Fit on (slots, label) in the given order, ``epochs`` times.
+
+    A slot that fewer than ``min_rows`` of these rows have gets no weight.
+    """
+    often = np.bincount(np.concatenate([np.empty(0, np.uint32), *(at for at, _ in rows)]), minlength=1 << BITS) >= min_rows
+    rows = [(at[often[at]], label) for at, label in rows]
     z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
 
     def weights(at):
@@ -106,10 +111,10 @@ def score(docs: DataFrame, weights: Weights, name: str = "score") -> DataFrame:
     @F.pandas_udf("double")
     def probability(texts: pd.Series) -> pd.Series:
         if not state:
-            table = np.zeros(1 << BITS)
+            table = np.zeros(1 << BITS, np.float32)
             table[sent.value.slots] = sent.value.values
             state["table"], state["hashes"] = table, WordHashes()
-        sums = [state["table"][slots_of(t, state["hashes"])].sum() for t in texts]
+        sums = [state["table"][slots_of(t, state["hashes"])].sum(dtype=float) for t in texts]
         return pd.Series(1 / (1 + np.exp(-np.clip(np.array(sums) + sent.value.bias, -30, 30))))
 
     return docs.withColumn(name, probability("text"))
