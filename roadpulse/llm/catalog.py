@@ -3,10 +3,14 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import secrets, toxicity
+from roadpulse.llm import packing, secrets, toxicity
 from roadpulse.llm.common import table
 
 
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     weights = toxicity.fit(docs, table(spark, folder, "labels"))
@@ -25,6 +29,7 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op7_packing": op7_packing,
     "op9_toxicity": op9_toxicity,
     "op10_secrets": op10_secrets,
 }
