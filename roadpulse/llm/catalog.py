@@ -3,14 +3,25 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import packing, secrets, toxicity
+from roadpulse.llm import huffman, packing, secrets, token_counts, toxicity
 from roadpulse.llm.common import table
 
 
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    counted = token_counts.count_tokens(table(spark, folder, "documents"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    at = huffman.new_folder(spark)
+    huffman.write(table(spark, folder, "documents"), at)
+    return huffman.read(spark, at, with_ids=False)
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     weights = toxicity.fit(docs, table(spark, folder, "labels"))
@@ -29,7 +40,9 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_token_counts": op6_token_counts,
     "op7_packing": op7_packing,
+    "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
     "op10_secrets": op10_secrets,
 }
