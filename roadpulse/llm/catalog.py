@@ -3,10 +3,14 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import huffman, packing, secrets, token_counts, toxicity
+from roadpulse.llm import fingerprints, huffman, packing, secrets, token_counts, toxicity
 from roadpulse.llm.common import table
 
 
+def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, folder, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counted = token_counts.count_tokens(table(spark, folder, "documents"))
     return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
@@ -40,6 +44,7 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_fingerprints": op5_fingerprints,
     "op6_token_counts": op6_token_counts,
     "op7_packing": op7_packing,
     "op8_token_files": op8_token_files,
