@@ -3,10 +3,28 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import fingerprints, huffman, packing, secrets, token_counts, toxicity
+from roadpulse.llm import fingerprints, huffman, mixing, packing, secrets, token_counts, toxicity
 from roadpulse.llm.common import table
 
 
+#: The tree of the mixture. A source's domain follows from its number.
+_NUMBER = "try_cast(regexp_extract(source, '([0-9]+)$', 1) AS INT)"
+DOMAIN = f"CASE WHEN {_NUMBER} < 8 THEN 'web' WHEN {_NUMBER} < 14 THEN 'books' ELSE 'reference' END"
+LEVELS = {"domain": DOMAIN, "lang": "lang", "source": "source"}
+WEIGHTS = {
+    "domain": {"web": 5, "books": 3, "reference": 4},
+    "lang": {"en": 6, "de": 2, "fr": 2, "es": 1},
+    "source": {"src0": 2, "src9": 3, "src14": 4},
+}
+
+
+def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Four fifths of the corpus' tokens, with up to two epochs of a source."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    mixed = mixing.mix(docs, LEVELS, WEIGHTS, share=(4, 5), max_epochs=2, seed=17)
+    return mixed.select("doc_id", F.col("mix_domain").alias("domain"), F.col("mix_lang").alias("lang"), F.col("mix_source").alias("source"), F.col("mix_tokens").alias("n_tokens"), F.col("mix_epoch").alias("epoch"))
+
+
 def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, folder, "documents"))
 
@@ -44,6 +62,7 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_mixing": op1_mixing,
     "op5_fingerprints": op5_fingerprints,
     "op6_token_counts": op6_token_counts,
     "op7_packing": op7_packing,
@@ -52,4 +71,47 @@ QUERIES = {
     "op10_secrets": op10_secrets,
 }
 
-ORACLES: dict[str, str] = {}
+
+
+def _level_sql(previous: str, path: list[str], weight_sql: str) -> str:
+    """One level of the budget tree: ``previous`` holds the parents' budgets."""
+    own, level = path[-1], ", ".join(path)
+    parents = ", ".join(path[:-1])
+    part = f"PARTITION BY {parents}" if parents else ""
+    return f"""
+ c_{own} AS (SELECT {level}, sum(cap) AS cap, max({weight_sql}) AS w FROM usable GROUP BY {level}),
+ s_{own} AS (SELECT *, CAST(sum(cap) OVER (f ROWS UNBOUNDED PRECEDING) AS HUGEINT) AS upto,
+   coalesce(sum(w) OVER (f ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0) AS aft
+   FROM c_{own} {f"JOIN {previous} USING ({parents})" if parents else f"CROSS JOIN {previous}"}
+   WINDOW f AS ({part} ORDER BY CAST(cap AS DOUBLE) / CAST(w AS DOUBLE), {own})),
+ u_{own} AS (SELECT *, (budget - upto) * w >= cap * aft AS filled FROM s_{own}),
+ o_{own} AS (SELECT *, greatest(budget - sum(CASE WHEN filled THEN cap ELSE 0 END) OVER (e), 0) AS rest_,
+   sum(CASE WHEN filled THEN 0 ELSE w END) OVER (e) AS open_,
+   sum(CASE WHEN filled THEN 0 ELSE w END) OVER (f ROWS UNBOUNDED PRECEDING) AS run_
+   FROM u_{own} WINDOW e AS ({part}), f AS ({part} ORDER BY CAST(cap AS DOUBLE) / CAST(w AS DOUBLE), {own})),
+ b_{own} AS (SELECT {level}, CAST(CASE WHEN filled THEN cap ELSE CAST(rest_ AS HUGEINT) * run_ // open_ - CAST(rest_ AS HUGEINT) * (run_ - w) // open_ END AS HUGEINT) AS budget FROM o_{own})"""
+
+
+def _case_sql(column: str, weights: dict[str, int]) -> str:
+    return "CASE " + column + " " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in weights.items()) + " ELSE 1 END"
+
+
+def mixing_sql(share: tuple[int, int], max_epochs: int, seed: int) -> str:
+    return f"""WITH d AS (SELECT doc_id, {DOMAIN} AS domain,
+   coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source,
+   CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS n_tokens FROM documents),
+ leaf AS (SELECT domain, lang, source, CAST(sum(n_tokens) AS BIGINT) AS supply FROM d WHERE n_tokens > 0 GROUP BY ALL),
+ usable AS (SELECT *, CAST(supply * {max_epochs} AS HUGEINT) AS cap FROM leaf),
+ root AS (SELECT CAST(coalesce(sum(supply), 0) * {share[0]} // {share[1]} AS HUGEINT) AS budget FROM leaf),
+ {_level_sql("root", ["domain"], _case_sql("domain", WEIGHTS["domain"]))},
+ {_level_sql("b_domain", ["domain", "lang"], _case_sql("lang", WEIGHTS["lang"]))},
+ {_level_sql("b_lang", ["domain", "lang", "source"], _case_sql("source", WEIGHTS["source"]))},
+ given AS (SELECT *, CAST(budget // supply AS BIGINT) AS whole, CAST(budget % supply AS BIGINT) AS rest FROM leaf JOIN b_source USING (domain, lang, source)),
+ placed AS (SELECT d.*, whole, rest, coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source
+   ORDER BY md5('{seed}:' || whole || ':' || coalesce(CAST(doc_id AS VARCHAR), '')), n_tokens ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+   FROM d JOIN given USING (domain, lang, source) WHERE n_tokens > 0),
+ copies AS (SELECT *, whole + CASE WHEN start < rest THEN 1 ELSE 0 END AS n FROM placed)
+SELECT doc_id, domain, lang, source, n_tokens, CAST(unnest(range(n)) AS INTEGER) AS epoch FROM copies WHERE n > 0"""
+
+
+ORACLES: dict[str, str] = {"op1_mixing": mixing_sql((4, 5), 2, 17)}
