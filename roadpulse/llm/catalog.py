@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import fingerprints, huffman, mixing, packing, secrets, token_counts, toxicity
+from roadpulse.llm import fingerprints, huffman, mixing, ngram_join, packing, secrets, token_counts, toxicity
 from roadpulse.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", F.col("mix_domain").alias("domain"), F.col("mix_lang").alias("lang"), F.col("mix_source").alias("source"), F.col("mix_tokens").alias("n_tokens"), F.col("mix_epoch").alias("epoch"))
 
 
+def op4_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.join_components(table(spark, folder, "documents"))
+
+
 def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, folder, "documents"))
 
@@ -63,6 +67,7 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op4_ngram_join": op4_ngram_join,
     "op5_fingerprints": op5_fingerprints,
     "op6_token_counts": op6_token_counts,
     "op7_packing": op7_packing,

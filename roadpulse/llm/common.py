@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,12 +45,12 @@ def text_key(text: str | Column) -> Column:
 
 
 class WordHashes:
-    """64-bit hashes of words, remembered up to a fixed number of words."""
+    """64-bit hashes of words (text or UTF-8), remembered up to a fixed number of words."""
 
     def __init__(self):
-        self.known: dict[str, int] = {}
+        self.known: dict[str | bytes, int] = {}
 
-    def __call__(self, words: list[str]) -> np.ndarray:
+    def __call__(self, words: list) -> np.ndarray:
         known = self.known
         if len(known) > _CACHE_WORDS:
             known.clear()
@@ -58,7 +59,7 @@ class WordHashes:
         except KeyError:
             for w in words:
                 if w not in known:
-                    known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
+                    known[w] = xxhash.xxh64_intdigest(w if isinstance(w, bytes) else w.encode("utf-8", "surrogatepass"))
             return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
@@ -92,6 +93,90 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(33))
 
 
+def squeeze(values: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers, byte plane by byte plane, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(np.asarray(values).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def expand(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").ravel()
+
+
+def key_table(keys: bytes) -> tuple[list[bytes], np.ndarray]:
+    """Distinct 16-byte keys in order, and the place of every given key among them."""
+    values = np.frombuffer(keys, ">u8").reshape(-1, 2)
+    order = np.lexsort((values[:, 1], values[:, 0]))
+    ranked = values[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (ranked[1:] != ranked[:-1]).any(1)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.cumsum(new) - 1
+    table = ranked[new].tobytes()
+    return [table[i : i + 16] for i in range(0, len(table), 16)], place
+
+
+POSTINGS = "fragment int, keys binary, counts binary, hashes binary, places binary"
+
+
+def scattered(docs: list[tuple[bytes, np.ndarray, np.ndarray | None]], fragments: int):
+    """Postings of some documents (key, hashes, places), one row per fragment of the hash range.
+
+    A row lists the documents that have hashes in its fragment, how many, and these hashes (and
+    their places) document by document.
+    """
+    docs = [d for d in docs if len(d[1])]
+    if not docs:
+        return
+    hashes = np.concatenate([d[1] for d in docs])
+    places = np.concatenate([d[2] for d in docs]) if docs[0][2] is not None else None
+    owner = np.repeat(np.arange(len(docs)), [len(d[1]) for d in docs])
+    to = ((hashes >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)
+    order = np.argsort(to, kind="stable")
+    cuts = np.searchsorted(to[order], np.arange(fragments + 1))
+    for f in range(fragments):
+        own = order[cuts[f] : cuts[f + 1]]
+        if len(own):
+            counts = np.bincount(owner[own], minlength=len(docs))
+            used = np.flatnonzero(counts)
+            yield {
+                "fragment": f,
+                "keys": b"".join([docs[i][0] for i in used]),
+                "counts": squeeze(counts[used]),
+                "hashes": hashes[own].tobytes(),
+                "places": squeeze(places[own]) if places is not None else b"",
+            }
+
+
+def fragment_groups(batches):
+    """Rows of a task, which come sorted by fragment, one fragment at a time."""
+    held, current = [], None
+    for pdf in batches:
+        for row in pdf.itertuples(index=False):
+            if held and row.fragment != current:
+                yield current, held
+                held = []
+            current = row.fragment
+            held.append(row)
+    if held:
+        yield current, held
+
+
+def gathered(rows) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """Keys in order and, for each posting of a fragment, its hash, key number and place.
+
+    A key that several tasks sent counts once.
+    """
+    keys, numbers = key_table(b"".join([r.keys for r in rows]))
+    counts = np.concatenate([expand(r.counts) for r in rows]).astype(np.int64)
+    first = np.zeros(len(numbers), bool)
+    first[np.unique(numbers, return_index=True)[1]] = True
+    keep = np.repeat(first, counts)
+    hashes = np.frombuffer(b"".join([r.hashes for r in rows]), np.uint64)[keep]
+    places = np.concatenate([expand(r.places) for r in rows])[keep] if rows[0].places else np.empty(0, np.uint32)
+    return keys, hashes, np.repeat(numbers, counts)[keep], places
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of ``links`` (a, b): rows (node, root), root the smallest node reachable.
 

@@ -19,11 +19,10 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import xxhash
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import fragments_for, small_batches
+from roadpulse.llm.common import expand, fragments_for, small_batches, squeeze
 
 CHUNK_CHARS = 12_000_000
 BUCKET_BYTES = 24_000_000
@@ -85,16 +84,6 @@ def _escaped(word: str) -> str:
     return word.replace("\1", "\1o").replace("\0", "\1z") if "\0" in word or "\1" in word else word
 
 
-def _squeeze(values: np.ndarray) -> bytes:
-    """Small unsigned numbers, byte plane by byte plane, compressed."""
-    return zstandard.ZstdCompressor(level=1).compress(values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
-
-
-def _expand(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").ravel()
-
-
 def count_tokens(docs: DataFrame, model: str = "piece_bpe_32k.model", chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     """doc_id, n_bytes and n_tokens of every row of ``docs``."""
     small_batches(docs.sparkSession)
@@ -112,7 +101,7 @@ def count_tokens(docs: DataFrame, model: str = "piece_bpe_32k.model", chunk_char
                 own = order[cuts[b] : cuts[b + 1]]
                 if len(own):
                     steps = np.diff(own, prepend=0)
-                    yield pd.DataFrame({"bucket": [b], "chunk": [key], "at": [_squeeze(steps)], "words": ["\0".join(_escaped(w) for w in words[own])], "n": [len(own)]})
+                    yield pd.DataFrame({"bucket": [b], "chunk": [key], "at": [squeeze(steps)], "words": ["\0".join(_escaped(w) for w in words[own])], "n": [len(own)]})
 
     def frequencies(batches):
         for chunk in _chunks(batches, chunk_chars):
@@ -123,7 +112,7 @@ def count_tokens(docs: DataFrame, model: str = "piece_bpe_32k.model", chunk_char
             first[starts[np.array(chunk.sizes) > 0]] = True
             steps = np.where(first, at, at - np.roll(at, 1)) if len(at) else at
             yield pd.DataFrame(
-                {"chunk": [chunk.key()], "ids": [known], "n_bytes": [chunk.n_bytes], "sizes": [chunk.sizes], "at": [_squeeze(steps)], "counts": [_squeeze(np.concatenate(chunk.counts))], "words": [len(chunk.index)]}
+                {"chunk": [chunk.key()], "ids": [known], "n_bytes": [chunk.n_bytes], "sizes": [chunk.sizes], "at": [squeeze(steps)], "counts": [squeeze(np.concatenate(chunk.counts))], "words": [len(chunk.index)]}
             )
 
     def pieces(batches):
@@ -137,7 +126,7 @@ def count_tokens(docs: DataFrame, model: str = "piece_bpe_32k.model", chunk_char
                 words = [w.replace("\1z", "\0").replace("\1o", "\1") for w in text.split("\0")] if "\1" in text else text.split("\0")
                 new = [w for w in dict.fromkeys(words) if w not in known]
                 known.update(zip(new, map(len, processor.encode(new, num_threads=1))))
-                rows.append(_squeeze(np.fromiter(map(known.__getitem__, words), np.int64, n)))
+                rows.append(squeeze(np.fromiter(map(known.__getitem__, words), np.int64, n)))
             yield pd.DataFrame({"chunk": pdf["chunk"], "at": pdf["at"], "pieces": rows})
 
     def total(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -145,11 +134,11 @@ def count_tokens(docs: DataFrame, model: str = "piece_bpe_32k.model", chunk_char
         for row in left.itertuples():
             table = np.full(row.words, -1, np.int64)
             for r in right.itertuples():
-                table[np.cumsum(_expand(r.at).astype(np.int64))] = _expand(r.pieces)
+                table[np.cumsum(expand(r.at).astype(np.int64))] = expand(r.pieces)
             if (table < 0).any():
                 raise RuntimeError("a chunk has pre-tokens without a count: its two readers saw different rows")
             sizes = np.array(row.sizes)
-            counts, steps = _expand(row.counts).astype(np.int64), _expand(row.at).astype(np.int64)
+            counts, steps = expand(row.counts).astype(np.int64), expand(row.at).astype(np.int64)
             ends = np.cumsum(sizes)
             running = np.cumsum(steps)
             before = np.repeat(np.concatenate([[0], running])[np.concatenate([[0], ends[:-1]])], sizes)
