@@ -52,7 +52,7 @@ class _Chunk:
     def add(self, doc_id, text: str | None) -> None:
         index = self.index
         words = pre_tokens(text or "")
-        for w in set(words) - index.keys():
+        for w in set(words).difference(index):
             index[w] = len(index)
         at, counts = np.unique(np.fromiter(map(index.__getitem__, words), np.int64, len(words)), return_counts=True)
         self.ids.append(doc_id)

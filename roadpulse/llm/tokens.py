@@ -12,7 +12,8 @@ from array import array
 import numpy as np
 import public_tokenizers
 
-_KNOWN_PIECES = 700_000
+_KNOWN_WORDS = 1_000_000
+_KNOWN_PIECES = 250_000
 _LONG = 64
 _SPACE = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?!\S)")
@@ -34,7 +35,8 @@ class PieceEncoder:
         self.edges = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that begin (or end) a word
         for token, i in vocabulary.items():
             self.edges[i] = token.startswith("\u0120") if keeps_spaces else token.endswith("</w>")
-        self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}  # plain words and what they are put together with
+        self.known: dict[str, bytes] = {}  # all pieces of late, words included
 
     def _pieces(self, text: str) -> list[str]:
         if not self.keeps_spaces:
@@ -57,56 +59,72 @@ class PieceEncoder:
         whole = ids.tobytes()
         return [whole[4 * i : 4 * j] for i, j in zip(cuts, [*cuts[1:], len(ids)])]
 
-    def _learn(self, pieces: set[str]) -> None:
-        """Remember new pieces; those made of plain words and punctuation are put together."""
-        known, parts, words, others = self.known, {}, set(), set()
-        inner = "\0" if self.keeps_spaces else ""  # what begins a part without a space before it
+    def _learn(self, pieces: set[str]) -> list[str]:
+        """Add new pieces to the known ones; returns those that hardly come again.
+
+        Pieces made of plain words and punctuation are put together from the ids of these.
+        """
+        known, words, made = self.known, self.words, []
+        new, others, passing = set(), [], []
+        inner = "\0" if self.keeps_spaces else ""  # begins a part without a space before it
+        line = [inner + "\n"] if inner else []
         for p in pieces:
-            m = _PLAIN.fullmatch(p)
+            m = _PLAIN.fullmatch(p) if len(p) <= _LONG else None
             if not m:
-                others.add(p)
+                others.append(p)
+                passing.append(p)
                 continue
             first, tail, second, end = m.groups()
+            if first not in words:
+                new.add(first)
             if tail or second:
-                made = [first]
+                parts = [first]
                 if tail:
-                    made.append(inner + tail)
+                    parts.append(inner + tail)
                 if second:
-                    made += [inner + "\n", inner + second] if inner else [second]
+                    parts += [*line, inner + second]
                     if end:
-                        made.append(inner + end)
-                parts[p] = made
-                for x in made:
-                    if x not in known:
-                        (words if x == first or x == second else others).add(x)
-            else:
-                words.add(p)
-        words, others = list(words), list(others)
-        for i in range(0, len(words), 2_000):
-            some = words[i : i + 2_000]
-            known.update(zip(some, self._encode_words(some)))
+                        parts.append(inner + end)
+                    passing.append(p)
+                made.append((p, parts))
+        small = {x for _, parts in made for x in parts[1:] if x not in words}
+        if not inner:
+            new |= {x for x in small if x[0].isalpha()}
+            small = {x for x in small if not x[0].isalpha()}
+        new = list(new)
+        for i in range(0, len(new), 2_000):
+            some = new[i : i + 2_000]
+            found = list(zip(some, self._encode_words(some)))
+            words.update(found)
+            known.update(found)
+        small = list(small)
+        words.update(zip(small, self._encode(small)))
         known.update(zip(others, self._encode(others)))
-        for p, made in parts.items():
-            known[p] = b"".join([known[x] for x in made])
+        for p, parts in made:
+            known[p] = b"".join([words[x] for x in parts])
+        for p in pieces.difference(known):
+            known[p] = words[p]
+        return passing
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """One array of ids per text."""
-        if len(self.known) > _KNOWN_PIECES:
+        if len(self.words) > _KNOWN_WORDS:
+            self.words.clear()
+            self.known.clear()
+        if len(self.known) > len(self.words) + _KNOWN_PIECES:
             self.known.clear()
+            self.known.update(self.words)
+        known = self.known
         split = [None if any(s in t for s in self.special) or "\0" in t else self._pieces(t) for t in texts]
-        missing = {p for parts in split if parts for p in parts} - self.known.keys()
-        short = [p for p in missing if len(p) <= _LONG]
-        self._learn(set(short))
-        long = [p for p in missing if len(p) > _LONG]
-        once = dict(zip(long, self._encode(long))) if long else {}
+        passing = self._learn(set().union(*filter(None, split)).difference(known))
         out = []
         for text, parts in zip(texts, split):
             if parts is None:
                 out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32))
-            elif once:
-                out.append(np.frombuffer(b"".join([self.known[p] if p in self.known else once[p] for p in parts]), np.uint32))
             else:
-                out.append(np.frombuffer(b"".join(map(self.known.__getitem__, parts)), np.uint32))
+                out.append(np.frombuffer(b"".join(map(known.__getitem__, parts)), np.uint32))
+        for p in passing:
+            del known[p]
         return out
 
 
