@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import fingerprints, huffman, mixing, ngram_join, packing, secrets, token_counts, toxicity
+from roadpulse.llm import fingerprints, huffman, mixing, ngram_join, packing, secrets, substring_dedup, token_counts, toxicity
 from roadpulse.llm.common import table
 
 
@@ -25,6 +25,11 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", F.col("mix_domain").alias("domain"), F.col("mix_lang").alias("lang"), F.col("mix_source").alias("source"), F.col("mix_tokens").alias("n_tokens"), F.col("mix_epoch").alias("epoch"))
 
 
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.join_components(table(spark, folder, "documents"))
 
@@ -67,6 +72,7 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_substring_dedup": op2_substring_dedup,
     "op4_ngram_join": op4_ngram_join,
     "op5_fingerprints": op5_fingerprints,
     "op6_token_counts": op6_token_counts,

@@ -116,20 +116,20 @@ def key_table(keys: bytes) -> tuple[list[bytes], np.ndarray]:
     return [table[i : i + 16] for i in range(0, len(table), 16)], place
 
 
-POSTINGS = "fragment int, keys binary, counts binary, hashes binary, places binary"
+POSTINGS = "fragment int, keys binary, counts binary, hashes binary, places binary, checks binary"
 
 
-def scattered(docs: list[tuple[bytes, np.ndarray, np.ndarray | None]], fragments: int):
-    """Postings of some documents (key, hashes, places), one row per fragment of the hash range.
+def scattered(docs: list[tuple], fragments: int):
+    """Postings of some documents, one row per fragment of the hash range.
 
-    A row lists the documents that have hashes in its fragment, how many, and these hashes (and
-    their places) document by document.
+    A document is (key, hashes) and perhaps the places of the hashes and 32 further bits of
+    each. A row lists the documents that have hashes in its fragment, how many, and these
+    hashes, places and further bits, document by document.
     """
     docs = [d for d in docs if len(d[1])]
     if not docs:
         return
-    hashes = np.concatenate([d[1] for d in docs])
-    places = np.concatenate([d[2] for d in docs]) if docs[0][2] is not None else None
+    hashes, places, checks = ([np.concatenate(c) for c in list(zip(*docs))[1:]] + [None, None])[:3]
     owner = np.repeat(np.arange(len(docs)), [len(d[1]) for d in docs])
     to = ((hashes >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)
     order = np.argsort(to, kind="stable")
@@ -145,6 +145,7 @@ def scattered(docs: list[tuple[bytes, np.ndarray, np.ndarray | None]], fragments
                 "counts": squeeze(counts[used]),
                 "hashes": hashes[own].tobytes(),
                 "places": squeeze(places[own]) if places is not None else b"",
+                "checks": checks[own].astype(np.uint32).tobytes() if checks is not None else b"",
             }
 
 
@@ -162,8 +163,8 @@ def fragment_groups(batches):
         yield current, held
 
 
-def gathered(rows) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    """Keys in order and, for each posting of a fragment, its hash, key number and place.
+def gathered(rows) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys in order and, for each posting of a fragment, its hash, key number, place and further bits.
 
     A key that several tasks sent counts once.
     """
@@ -174,7 +175,8 @@ def gathered(rows) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
     keep = np.repeat(first, counts)
     hashes = np.frombuffer(b"".join([r.hashes for r in rows]), np.uint64)[keep]
     places = np.concatenate([expand(r.places) for r in rows])[keep] if rows[0].places else np.empty(0, np.uint32)
-    return keys, hashes, np.repeat(numbers, counts)[keep], places
+    checks = np.frombuffer(b"".join([r.checks for r in rows]), np.uint32)[keep] if rows[0].checks else np.empty(0, np.uint32)
+    return keys, hashes, np.repeat(numbers, counts)[keep], places, checks
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -74,13 +74,13 @@ def shared_groups(docs: DataFrame, n: int, fragments: int) -> DataFrame:
             if len(seen) > 200_000:
                 seen.clear()
             seen.update(fresh)
-            rows = list(scattered([(k, s, None) for k, s in fresh.items()], fragments))
+            rows = list(scattered(list(fresh.items()), fragments))
             if rows:
                 yield pd.DataFrame(rows)
 
     def group(batches):
         for fragment, rows in fragment_groups(batches):
-            keys, hashes, owner, _ = gathered(rows)
+            keys, hashes, owner, _, _ = gathered(rows)
             order = np.argsort(hashes, kind="stable")
             hashes, owner = hashes[order], owner[order]
             edges = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1], [True]]))
