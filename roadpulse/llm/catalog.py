@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import fingerprints, huffman, mixing, ngram_join, packing, secrets, substring_dedup, token_counts, toxicity
+from roadpulse.llm import embedding_dedup, fingerprints, huffman, mixing, ngram_join, packing, secrets, substring_dedup, token_counts, toxicity
 from roadpulse.llm.common import table
 
 
@@ -30,6 +30,10 @@ def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op4_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.join_components(table(spark, folder, "documents"))
 
@@ -73,6 +77,7 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_ngram_join": op4_ngram_join,
     "op5_fingerprints": op5_fingerprints,
     "op6_token_counts": op6_token_counts,
