@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import POSTINGS, WordHashes, components, expand, fragment_groups, fragments_for, gathered, mixed, scattered, small_batches, squeeze, window_hashes
+from roadpulse.llm.common import POSTINGS, WordHashes, components, expand, fragment_groups, fragments_for, gathered, mixed, scattered, small_batches, squeeze, text_key, window_hashes
 from roadpulse.session import materialize
 
 FRAGMENT_BYTES = 32_000_000
@@ -51,16 +51,19 @@ def _key(hashes: np.ndarray) -> bytes:
     return hashlib.md5(hashes.tobytes()).digest()
 
 
-def members(docs: DataFrame, n: int) -> DataFrame:
+def members(docs: DataFrame, n: int, with_text_key: bool = False) -> DataFrame:
     """doc_id, the key of its set (null for an empty set) and the size of the set."""
 
     def run(batches):
         hashes = WordHashes()
         for pdf in batches:
             sets = [shingles(t, n, hashes) for t in pdf["text"]]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "key": [_key(s) if len(s) else None for s in sets], "n": [len(s) for s in sets]})
+            out = pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "key": [_key(s) if len(s) else None for s in sets], "n": [len(s) for s in sets]})
+            if with_text_key:
+                out["text_key"] = [hashlib.md5(t.encode("utf-8", "surrogatepass")).digest() for t in pdf["text"]]
+            yield out
 
-    return docs.mapInPandas(run, "doc_id long, key binary, n long")
+    return docs.mapInPandas(run, "doc_id long, key binary, n long" + (", text_key binary" if with_text_key else ""))
 
 
 def shared_groups(docs: DataFrame, n: int, fragments: int) -> DataFrame:
@@ -208,11 +211,8 @@ def _count(groups: DataFrame, nodes: DataFrame | None, seed: int | None) -> Data
     return partial.groupBy("a", "b").agg(F.sum("shared").alias("shared"))
 
 
-def join_components(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of ``docs``."""
-    small_batches(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = materialize(members(docs, n))
+def set_components(rows: DataFrame, docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame | None]:
+    """Sets of ``rows`` (key, n, head) and, where there are links, the root of each linked set."""
     sets = rows.where("key is not null").groupBy("key").agg(F.max("n").alias("n"), F.min("doc_id").alias("head"))
     groups = materialize(shared_groups(docs, n, fragments_for(docs, FRAGMENT_BYTES)))
     sizes = sets.select("key", "n")
@@ -240,7 +240,15 @@ def join_components(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame
         if found.limit(1).count():
             links = found if links is None else links.unionByName(found)
             roots = components(links)
+    return sets, roots
+
 
+def join_components(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row of ``docs``."""
+    small_batches(docs.sparkSession)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = materialize(members(docs, n))
+    sets, roots = set_components(rows, docs, n, percent)
     if roots is None:
         per_set = sets.select("key", F.col("head").alias("least"))
     else:
@@ -248,3 +256,25 @@ def join_components(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame
         least = own.groupBy("root").agg(F.min("head").alias("least"))
         per_set = own.join(least, "root").select("key", "least")
     return rows.join(per_set, "key", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+
+
+def drop_duplicates(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
+    """The documents without near duplicates: one row of each component stays.
+
+    It is the row with the smallest doc_id (rows without one come last), of these the one with
+    the smallest hash of its text. Rows without words are linked with nothing and all stay.
+    """
+    small_batches(docs.sparkSession)
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    own = docs.where(worded).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = materialize(members(own, n, with_text_key=True))
+    sets, roots = set_components(rows, own.select("doc_id", "text"), n, percent)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")).alias("first")
+    per_set = rows.groupBy("key").agg(first)
+    if roots is not None:
+        per_set = per_set.join(roots.withColumnRenamed("node", "key"), "key", "left").groupBy(F.coalesce("root", "key").alias("key")).agg(F.min("first").alias("first"))
+    kept = per_set.select(F.col("first.doc_id").alias("kept_id"), F.col("first.text_key").alias("kept_key"))
+    keyed = docs.where(worded).withColumn("near_key", text_key("text"))
+    # rows that repeat both id and text are told apart by nothing: one of them stays
+    stays = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("near_key") == F.col("kept_key"))).dropDuplicates(["kept_id", "kept_key"])
+    return stays.select(*docs.columns).unionByName(docs.where(~worded))
