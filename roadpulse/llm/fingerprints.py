@@ -22,13 +22,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import mixed, shuffle_tasks, small_batches
+from roadpulse.llm.common import mixed, shuffle_tasks, small_batches, window_hashes
 
 K = 12
 SKETCHES = 32
 KEPT = 2
 
-_SLICE = 1 << 15
+_SLICE = 1 << 11
 _SEEDS = mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _FIRST = np.uint64(0x9E3779B97F4A7C15)
 _MOST = np.uint64((1 << 64) - 1)
@@ -39,17 +39,16 @@ def numbered_kmers(text: str) -> np.ndarray:
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     if not len(codes):
         return codes
-    k = min(K, len(codes))
-    h = np.zeros(len(codes) - k + 1, np.uint64)
-    for j in range(k):
-        h = h * _FIRST + codes[j : j + len(h)] + np.uint64(1)
-    h = mixed(h)
-    order = np.argsort(h, kind="stable")
-    ranked = h[order]
-    first = np.concatenate([[True], ranked[1:] != ranked[:-1]])
-    starts = np.maximum.accumulate(np.where(first, np.arange(len(h)), 0))
-    number = np.empty(len(h), np.uint64)
-    number[order] = (np.arange(len(h)) - starts).astype(np.uint64)
+    h = mixed(window_hashes(codes + np.uint64(1), min(K, len(codes)), 0x9E3779B97F4A7C15))
+    ranked = np.sort(h)
+    again = np.unique(ranked[1:][ranked[1:] == ranked[:-1]])
+    number = np.zeros(len(h), np.uint64)
+    if len(again):
+        at = np.flatnonzero(again[np.minimum(np.searchsorted(again, h), len(again) - 1)] == h)
+        order = at[np.argsort(h[at], kind="stable")]
+        new = np.concatenate([[True], h[order][1:] != h[order][:-1]])
+        starts = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+        number[order] = (np.arange(len(order)) - starts).astype(np.uint64)
     return mixed(h + number * np.uint64(0xC2B2AE3D27D4EB4F))
 
 
@@ -63,9 +62,7 @@ def fingerprint(text: str) -> np.ndarray:
     rows = np.arange(SKETCHES)
     for start in range(0, len(kmers), _SLICE):
         part = kmers[start : start + _SLICE]
-        hashed = part[None, :] * _SEEDS[:, None]
-        hashed ^= hashed >> np.uint64(29)
-        hashed *= _SEEDS[::-1, None]
+        hashed = part[None, :] * _SEEDS[:, None]  # k-mer hashes are mixed: an odd factor reorders them
         values, places = [least], [where]
         for _ in range(min(KEPT, len(part))):
             at = hashed.argmin(1)
