@@ -114,19 +114,21 @@ def union_metrics(stream: DataFrame, batch: DataFrame) -> DataFrame:
     return stream.unionByName(batch, allowMissingColumns=True)
 
 
-def newest_metrics(metrics: DataFrame, limit: int = 500) -> DataFrame:
-    return metrics.orderBy(F.col("recorded_at").desc(), F.col("batch_id").desc()).limit(limit)
+def newest_metrics(metrics: DataFrame, limit: int | None = None) -> DataFrame:
+    """Newest rows first; a page of them where ``limit`` is given."""
+    ordered = metrics.orderBy(F.col("recorded_at").desc(), F.col("batch_id").desc())
+    return ordered if limit is None else ordered.limit(limit)
 
 
-def quality_metrics(metrics: DataFrame, as_of=None, hours: float = 24) -> DataFrame:
-    """Newest 500 rows first, only then the time filter, oldest first."""
-    since = hours_before(as_of, hours)
-    return newest_metrics(metrics).where(F.col("recorded_at") >= since).orderBy("recorded_at", "batch_id")
+def quality_metrics(metrics: DataFrame, as_of=None, hours: float = 24, page: int | None = None) -> DataFrame:
+    """Rows of the window, oldest first; with ``page`` only those among the newest ``page`` rows of all."""
+    rows = metrics if page is None else newest_metrics(metrics, page)
+    return rows.where(F.col("recorded_at") >= hours_before(as_of, hours)).orderBy("recorded_at", "batch_id")
 
 
 def recent_metrics(metrics: DataFrame, as_of=None, hours: float = 24) -> DataFrame:
-    """Time filter first, then the newest 500 rows."""
-    return newest_metrics(metrics.where(F.col("recorded_at") >= hours_before(as_of, hours)))
+    """All rows of the window."""
+    return metrics.where(F.col("recorded_at") >= hours_before(as_of, hours))
 
 
 def quality_trend(metrics: DataFrame, as_of=None, hours: float = 24) -> DataFrame:

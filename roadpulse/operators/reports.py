@@ -225,9 +225,11 @@ def borough_performance(flat: DataFrame) -> DataFrame:
     return flat.groupBy("borough").agg(*present)
 
 
-def overview_kpis(df: DataFrame, metrics: DataFrame, scored: DataFrame, newest_n: int = 100) -> DataFrame:
-    """Overview row: volume, mean speed, quality, anomalies among the newest scored rows."""
-    newest = scored.orderBy(F.col("processed_at").desc(), F.col("record_id").desc()).limit(newest_n)
+def overview_kpis(df: DataFrame, metrics: DataFrame, scored: DataFrame, newest_n: int | None = None) -> DataFrame:
+    """Overview row: volume, mean speed, quality, anomalies (among the newest ``newest_n`` scored rows if given)."""
+    newest = scored
+    if newest_n is not None:
+        newest = scored.orderBy(F.col("processed_at").desc(), F.col("record_id").desc()).limit(newest_n)
     rows = df.agg(
         F.count("*").alias("total_records"),
         F.coalesce(round_dec(F.avg("speed"), 1), F.lit(0.0)).alias("avg_speed"),

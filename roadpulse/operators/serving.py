@@ -47,8 +47,10 @@ def since(df: DataFrame, as_of=None, hours: float = 24, column: str = "processed
     return df.where(F.col(column) >= hours_before(as_of, hours))
 
 
-def newest(df: DataFrame, limit: int, column: str = "processed_at", tie: str = "record_id") -> DataFrame:
-    return df.orderBy(F.col(column).desc_nulls_last(), F.col(tie).desc_nulls_last()).limit(limit)
+def newest(df: DataFrame, limit: int | None, column: str = "processed_at", tie: str = "record_id") -> DataFrame:
+    """Newest rows first; a page of them where ``limit`` is given."""
+    ordered = df.orderBy(F.col(column).desc_nulls_last(), F.col(tie).desc_nulls_last())
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def iso(ts: Column) -> Column:
@@ -78,7 +80,7 @@ def traffic_anomalies(df: DataFrame, limit: int = 20) -> DataFrame:
     return newest(df.where("is_anomaly"), check_limit(limit, 200))
 
 
-def recent_records(df: DataFrame, as_of=None, hours: float = 1, boroughs=None, limit: int = 2000) -> DataFrame:
+def recent_records(df: DataFrame, as_of=None, hours: float = 1, boroughs=None, limit: int | None = None) -> DataFrame:
     rows = in_boroughs(since(df, as_of, hours), boroughs)
     numeric = ("speed", "congestion_score", "latitude", "longitude")
     return newest(rows, limit).select(
@@ -86,7 +88,7 @@ def recent_records(df: DataFrame, as_of=None, hours: float = 1, boroughs=None, l
     )
 
 
-def congestion_trends(df: DataFrame, as_of=None, hours: float = 6, limit: int = 10000) -> DataFrame:
+def congestion_trends(df: DataFrame, as_of=None, hours: float = 6, limit: int | None = None) -> DataFrame:
     return newest(since(df, as_of, hours), limit).select(
         "record_id", "borough", "congestion_level", "speed", "hour_of_day", "processed_at"
     )
@@ -108,12 +110,16 @@ def network_summaries(aggregates: DataFrame, as_of=None, hours: float = 24) -> D
 
 
 def window_or_all(
-    df: DataFrame, as_of=None, hours: float = 24, column: str = "window_start", tie: str = "borough", limit: int = 5000
+    df: DataFrame, as_of=None, hours: float = 24, column: str = "window_start", tie: str = "borough", limit: int | None = None
 ) -> DataFrame:
-    """Rows of the lookback window, or of all time when the window is empty; oldest first."""
+    """Rows of the lookback window, or of all time when the window is empty; oldest first.
+
+    With ``limit`` the newest rows of these are kept.
+    """
     inside = F.col(column) >= hours_before(as_of, hours)
     found = df.where(inside).limit(1).agg(F.count("*").alias("n")).scalar()
-    return df.where((found == 0) | inside).orderBy(column, tie).limit(limit)
+    rows = df.where((found == 0) | inside)
+    return (rows if limit is None else newest(rows, limit, column, tie)).orderBy(column, tie)
 
 
 def dominant_level(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -126,9 +132,11 @@ def dominant_level(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def congestion_snapshot(df: DataFrame, sample: int = 5000) -> DataFrame:
-    """State of every borough over the newest rows."""
-    rows = newest(df.select("borough", "speed", "congestion_level", "processed_at", "record_id"), sample)
+def congestion_snapshot(df: DataFrame, as_of=None, hours: float | None = None, sample: int | None = None) -> DataFrame:
+    """State of every borough over all rows, those of the last ``hours``, or the newest ``sample`` rows."""
+    rows = df if hours is None else since(df, as_of, hours)
+    rows = rows.select("borough", "speed", "congestion_level", "processed_at", "record_id")
+    rows = rows if sample is None else newest(rows, sample)
     per_level = (
         rows.where(F.col("borough").isNotNull() & (F.col("borough") != ""))
         .groupBy("borough", "congestion_level")

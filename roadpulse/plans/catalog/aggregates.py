@@ -143,7 +143,7 @@ def a9(t):
 
 @query(
     "a10_congestion_snapshot",
-    f"""WITH newest AS (SELECT * FROM traffic_fx ORDER BY processed_at DESC, record_id DESC LIMIT 5000),
+    f"""WITH newest AS (SELECT * FROM traffic_fx),
         lv AS (SELECT borough, congestion_level, count(*) AS n, max(processed_at) AS seen, max_by(record_id, (processed_at, record_id)) AS rid
           FROM newest WHERE borough IS NOT NULL GROUP BY 1, 2),
         dom AS (SELECT borough, congestion_level AS dominant_congestion FROM lv

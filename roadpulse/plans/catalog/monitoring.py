@@ -48,7 +48,7 @@ def f13(t):
 @query(
     "t5_recent_records",
     f"""SELECT {", ".join(serving.RECENT_COLUMNS)} FROM traffic_fx WHERE processed_at >= {NOW} - INTERVAL 72 HOUR
-        AND borough IN ('Bronx', 'Brooklyn') {_NEWEST} LIMIT 2000""",
+        AND borough IN ('Bronx', 'Brooklyn')""",
 )
 def t5(t):
     return serving.recent_records(t.traffic, AS_OF, 72, ["Bronx", "Brooklyn"])
@@ -59,7 +59,7 @@ _METRIC = "batch_id, source, recorded_at, total_records, valid_records, quality_
 
 @query(
     "t6_quality_metrics",
-    f"""SELECT {_METRIC} FROM (SELECT * FROM quality_fx ORDER BY recorded_at DESC, batch_id DESC LIMIT 500)
+    f"""SELECT {_METRIC} FROM quality_fx
         WHERE recorded_at >= {NOW} - INTERVAL 240 HOUR""",
 )
 def t6(t):
@@ -80,7 +80,7 @@ def t7(t):
 @query(
     "t8_quality_trend",
     f"""SELECT recorded_at, source, quality_score, total_records FROM quality_fx
-        WHERE recorded_at >= {NOW} - INTERVAL 240 HOUR ORDER BY recorded_at DESC, batch_id DESC LIMIT 500""",
+        WHERE recorded_at >= {NOW} - INTERVAL 240 HOUR""",
 )
 def t8(t):
     return quality.quality_trend(t.quality, AS_OF, 240)
@@ -120,7 +120,7 @@ def t9_network(t):
 @query(
     "t10_congestion_trends",
     f"""SELECT record_id, borough, congestion_level, speed, hour_of_day, processed_at FROM traffic_fx
-        WHERE processed_at >= {NOW} - INTERVAL 72 HOUR {_NEWEST} LIMIT 10000""",
+        WHERE processed_at >= {NOW} - INTERVAL 72 HOUR""",
 )
 def t10(t):
     return serving.congestion_trends(t.traffic, AS_OF, 72)
@@ -355,7 +355,7 @@ def a30(t):
     "a31_overview_kpis",
     f"""SELECT count(*) AS total_records, coalesce({rd('avg(speed)', 1)}, 0.0::DOUBLE) AS avg_speed,
         (SELECT {rd('avg(quality_score)', 1)} FROM quality_fx) AS quality_score,
-        (SELECT count_if(is_anomaly) FROM (SELECT is_anomaly FROM traffic_pred_fx {_NEWEST} LIMIT 100)) AS anomaly_count,
+        (SELECT count_if(is_anomaly) FROM traffic_pred_fx) AS anomaly_count,
         count(*) > 0 AS stream_active FROM traffic_fx""",
 )
 def a31(t):

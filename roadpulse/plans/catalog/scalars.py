@@ -371,8 +371,7 @@ def f8(t):
 
 @query(
     "f9_window_hit",
-    f"""SELECT window_start, borough, record_count FROM hourly_fx WHERE window_start >= {NOW} - INTERVAL 24 HOUR
-        ORDER BY window_start, borough LIMIT 5000""",
+    f"""SELECT window_start, borough, record_count FROM hourly_fx WHERE window_start >= {NOW} - INTERVAL 24 HOUR""",
 )
 def f9_hit(t):
     return serving.window_or_all(t.hourly_stats, AS_OF, 24).select("window_start", "borough", "record_count")
@@ -380,7 +379,7 @@ def f9_hit(t):
 
 @query(
     "f9_window_fallback",
-    "SELECT window_start, borough, record_count FROM hourly_fx ORDER BY window_start, borough LIMIT 5000",
+    "SELECT window_start, borough, record_count FROM hourly_fx",
 )
 def f9_all(t):
     return serving.window_or_all(t.hourly_stats, "2025-01-01 00:00:00", 24).select(

@@ -37,6 +37,22 @@ def scan_or_backfill(
     return materialize(backfill(envelope).select(*COLUMNS)), "topic"
 
 
+def whole_hours(spark: SparkSession, paths: TablePaths, rows: DataFrame) -> DataFrame:
+    """All stored readings of the hours that ``rows`` touch, whenever they were processed.
+
+    A late reading, or the cut of the lookback, would otherwise replace a complete hour by a
+    part of it. The bounds of the touched hours reach the scan as a pushed-down filter.
+    """
+    hour = F.date_trunc("hour", "data_as_of_parsed")
+    touched = materialize(rows.select(hour.alias("_hour")).where("_hour IS NOT NULL").distinct())
+    first, last = touched.agg(F.min(F.unix_seconds("_hour")), F.max(F.unix_seconds("_hour"))).first()
+    if first is None:
+        return rows
+    stored = read_processed(spark, paths.processed, columns=COLUMNS)
+    between = (F.col("data_as_of_parsed") >= F.timestamp_seconds(F.lit(first))) & (F.col("data_as_of_parsed") < F.timestamp_seconds(F.lit(last + 3600)))
+    return stored.where(between).withColumn("_hour", hour).join(touched, "_hour", "left_semi").drop("_hour")
+
+
 def run_batch(
     spark: SparkSession,
     paths: TablePaths,
@@ -60,15 +76,16 @@ def run_batch(
             total = found["total_records"]
             window_end = F.date_trunc("hour", as_of_column(as_of))
             window_start = window_end - F.expr(f"INTERVAL {int(hours * 3600)} SECONDS")
+            complete = whole_hours(spark, paths, rows) if origin == "table" else rows
             upsert(
-                hourly.hourly_borough(rows, as_of), paths.hourly, _AGGREGATE_KEYS + ["borough"], "window_start"
+                hourly.hourly_borough(complete, as_of), paths.hourly, _AGGREGATE_KEYS + ["borough"], "window_start"
             )
             summary = hourly.network_summary(rows, window_start, window_end, as_of)
             upsert(summary, paths.summaries, _AGGREGATE_KEYS, "window_start")
             upsert(metrics, paths.quality, ["batch_id"], "recorded_at")
     except Exception as error:
         status = lineage.FAILED
-        errors.append(f"{type(error).__name__}: {error}"[:500])
+        errors.append(f"{type(error).__name__}: {error}")
         raise
     finally:
         entry = lineage.make_entry(

@@ -17,6 +17,15 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def batch_key(batch: DataFrame, batch_id: int) -> str:
+    """Names a micro-batch by its query too: numbers start anew with every checkpoint.
+
+    The query's id is kept in the checkpoint, so a replay gets the same name.
+    """
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{query}_{batch_id}" if query else str(batch_id)
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int | str, partitions: tuple[str, ...] = ()) -> None:
     """Replaces what an earlier attempt of this batch wrote, so a replay leaves one copy."""
     rows = df.withColumn("batch_id", F.lit(str(batch_id)))

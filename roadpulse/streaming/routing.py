@@ -7,22 +7,27 @@ from pyspark.sql.streaming import StreamingQuery
 from roadpulse.functions.keys import dedup_key
 from roadpulse.operators import ingest
 from roadpulse.schema import RAW
-from roadpulse.sources.sinks import write_batch
+from roadpulse.sources.sinks import batch_key, write_batch
 from roadpulse.streaming.processing import TablePaths, with_trigger
 
 
 def without_duplicates(envelope: DataFrame, delay: str = "24 hours", enabled: bool = True) -> DataFrame:
     """Drops rows whose reading was seen within ``delay``, which also bounds the state.
 
+    A message without id, link or time names no reading; it is told apart by its place in the
+    topic, so only a repeated delivery of it is dropped.
+
     Rows that arrive later than ``delay`` behind the newest one are dropped as well, so it
     has to cover the lag between topic partitions.
     """
     if not enabled:
         return envelope
     reading = F.from_json("value", RAW)
-    keyed = envelope.withColumn(
-        "_key", dedup_key(reading.getField("id"), reading.getField("link_id"), reading.getField("data_as_of"))
-    )
+    ident, link, moment = (reading.getField(c) for c in ("id", "link_id", "data_as_of"))
+    named = (F.length(ident) > 0) | (F.length(link) > 0)
+    place = F.concat_ws("_", F.lit("place"), "topic", "partition", "offset")
+    whole = F.coalesce(named & (F.length(moment) > 0), F.lit(False))
+    keyed = envelope.withColumn("_key", F.when(whole, dedup_key(ident, link, moment)).otherwise(place))
     return keyed.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(["_key"]).drop("_key")
 
 
@@ -34,14 +39,15 @@ def write_routed(paths: TablePaths, strict_status: bool = False, **enrich_option
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        key = batch_key(batch, batch_id)
         validated = ingest.validate(batch, strict_status=strict_status).persist()
         try:
             counts = validated.agg(*ingest.route_counts())
             if counts.first()["processed"] == 0:
                 return
-            write_batch(ingest.valid_rows(validated, **enrich_options), paths.topic("validated"), batch_id)
-            write_batch(ingest.rejected_rows(validated), paths.topic("dead_letters"), batch_id)
-            write_batch(counts, paths.counters, batch_id)
+            write_batch(ingest.valid_rows(validated, **enrich_options), paths.topic("validated"), key)
+            write_batch(ingest.rejected_rows(validated), paths.topic("dead_letters"), key)
+            write_batch(counts, paths.counters, key)
         finally:
             validated.unpersist()
 
@@ -49,9 +55,17 @@ def write_routed(paths: TablePaths, strict_status: bool = False, **enrich_option
 
 
 def start_routing(
-    envelope: DataFrame, paths: TablePaths, checkpoint: str, once: bool = False, interval: str = "5 seconds", **options
+    envelope: DataFrame,
+    paths: TablePaths,
+    checkpoint: str,
+    once: bool = False,
+    interval: str = "5 seconds",
+    deduplicate: bool = True,
+    delay: str = "24 hours",
+    **options,
 ) -> StreamingQuery:
-    writer = envelope.writeStream.foreachBatch(write_routed(paths, **options))
+    """Routes every reading once; ``deduplicate=False`` routes repeated deliveries as well."""
+    writer = without_duplicates(envelope, delay, deduplicate).writeStream.foreachBatch(write_routed(paths, **options))
     return with_trigger(writer.option("checkpointLocation", checkpoint), once, interval).start()
 
 
@@ -59,10 +73,10 @@ def write_polled(paths: TablePaths):
     """``foreachBatch`` function: every fetched row goes to the raw topic, with poll statistics."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.persist()
+        rows, key = batch.persist(), batch_key(batch, batch_id)
         try:
-            write_batch(ingest.raw_envelope(rows), paths.topic("raw"), batch_id)
-            write_batch(ingest.poll_statistics(rows), f"{paths.root}/poll_statistics", batch_id)
+            write_batch(ingest.raw_envelope(rows), paths.topic("raw"), key)
+            write_batch(ingest.poll_statistics(rows), f"{paths.root}/poll_statistics", key)
         finally:
             rows.unpersist()
 

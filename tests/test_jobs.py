@@ -44,6 +44,14 @@ def test_run_over_the_processed_table(spark, paths):
     assert last_lineage(spark, paths)["status"] == "success"
 
 
+def test_a_late_reading_leaves_its_hour_complete(spark, paths):
+    store(spark, paths, [variant(id=str(i)) for i in range(50)], batch=0)
+    assert hourly_job.run_batch(spark, paths, AS_OF) == "success"
+    store(spark, paths, [variant(id="late")], batch=1, at="2024-02-15 10:00:00")
+    assert hourly_job.run_batch(spark, paths, AS_OF + dt.timedelta(days=2)) == "success"
+    assert [r["record_count"] for r in tables.read_hourly(spark, paths.hourly).collect()] == [51]
+
+
 def test_rows_outside_the_window_are_ignored(spark, paths):
     store(spark, paths, [variant()], at="2024-02-12 12:29:59")
     assert hourly_job.run_batch(spark, paths, AS_OF) == "skipped_empty"

@@ -53,7 +53,7 @@ def test_cleaning_needs_no_shuffle(t):
 
 
 def test_newest_rows_use_a_bounded_heap(t):
-    for df in (serving.traffic_live(t.traffic), serving.recent_records(t.traffic, AS_OF, 24), quality.newest_metrics(t.quality)):
+    for df in (serving.traffic_live(t.traffic), serving.recent_records(t.traffic, AS_OF, 24, limit=2000), quality.newest_metrics(t.quality, 500)):
         assert "TakeOrderedAndProject" in plan(df)
 
 

@@ -48,12 +48,12 @@ def test_stream_equals_batch(spark, place):
     assert stored.select("batch_id").distinct().count() == 4
 
     metrics = tables.read_quality(spark, paths.quality)
-    assert sorted((r["batch_id"], r["total_records"], r["quality_score"]) for r in metrics.collect()) == [
-        (f"stream_{i}", 25, 100.0) for i in range(4)
-    ]
+    rows = metrics.collect()
+    assert sorted((r["batch_id"].rsplit("_", 1)[1], r["total_records"], r["quality_score"]) for r in rows) == [(str(i), 25, 100.0) for i in range(4)]
+    assert all(r["batch_id"].startswith("stream_") for r in rows)
     entries = tables.read_lineage(spark, paths.lineage).collect()
     assert {e["status"] for e in entries} == {"success"} and len(entries) == 4
-    ranges = {k: (v["min"], v["max"], v["count"]) for e in entries if e["batch_id"] == "stream_0" for k, v in e["offset_ranges"].items()}
+    ranges = {k: (v["min"], v["max"], v["count"]) for e in entries if e["batch_id"].endswith("_0") for k, v in e["offset_ranges"].items()}
     assert sum(count for _, _, count in ranges.values()) == 25
 
 
@@ -103,7 +103,7 @@ def test_partial_failure_keeps_the_rows(spark, place, monkeypatch):
 
 def test_routing(spark, place):
     folder, paths, cp = place
-    values = readings(10) + ["{broken", variant(speed="999"), variant(travel_time="66.5")]
+    values = readings(10) + ["{broken", variant(id="r1", speed="999"), variant(id="r2", travel_time="66.5")]
     write_envelope(folder, "f", envelope_rows(values))
     stream = envelope.stream_files(spark, folder)
     drain(routing.start_routing(stream, paths, cp, once=True))
@@ -129,6 +129,26 @@ def test_duplicates_are_dropped_within_the_delay(spark, place):
         assert spark.table(name).count() == expected
 
 
+def test_messages_without_a_reading_all_reach_the_dead_letters(spark, place):
+    folder, paths, cp = place
+    bad = ["{broken", "[1]", "{}", '{"speed": "1"}']
+    write_envelope(folder, "a", envelope_rows(bad))
+    write_envelope(folder, "b", envelope_rows(readings(3), start=100))
+    write_envelope(folder, "c", envelope_rows(readings(3), start=200))  # delivered again
+    drain(routing.start_routing(envelope.stream_files(spark, folder), paths, cp, once=True))
+    assert spark.read.parquet(paths.topic("dead_letters")).count() == len(bad)
+    assert spark.read.parquet(paths.topic("validated")).count() == 3
+
+
+def test_a_new_checkpoint_does_not_overwrite_batches(spark, place):
+    folder, paths, cp = place
+    write_envelope(folder, "a", envelope_rows(readings(5)))
+    drain(processing.start_processing(envelope.stream_files(spark, folder), paths, cp, once=True))
+    write_envelope(f"{folder}2", "b", envelope_rows(readings(3, 50), start=50))
+    drain(processing.start_processing(envelope.stream_files(spark, f"{folder}2"), paths, f"{cp}2", once=True))
+    assert tables.read_processed(spark, paths.processed).count() == 8
+
+
 def comparable(df):
     return sorted(
         (r["window_start"], r["borough"], r["record_count"], tuple(r["speed_stats"]), r["avg_travel_time"],
