@@ -21,7 +21,7 @@ WEIGHTS = {
 def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Four fifths of the corpus' tokens, with up to two epochs of a source."""
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
-    mixed = mixing.mix(docs, LEVELS, WEIGHTS, share=(4, 5), max_epochs=2, seed=17)
+    mixed = mixing.mix(docs, LEVELS, WEIGHTS, share=(4, 5), max_epochs=2, seed=17, columns=["doc_id"])
     return mixed.select("doc_id", F.col("mix_domain").alias("domain"), F.col("mix_lang").alias("lang"), F.col("mix_source").alias("source"), F.col("mix_tokens").alias("n_tokens"), F.col("mix_epoch").alias("epoch"))
 
 

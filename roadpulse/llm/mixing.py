@@ -9,7 +9,8 @@ reach the node's own siblings, since no node is offered more than its leaves hol
 A leaf serves its budget from seeded epochs: every full epoch gives each document once, and the
 last epoch gives the documents whose first token lies before the rest of the budget, in the
 order of a seeded hash. That order is never sorted as a whole: documents are summed by the
-first digits of their hash, and only the one bucket that a leaf's cut falls into is ordered.
+first digits of their hash, then by the next ones inside the one bucket that a leaf's cut falls
+into, and only the last, small bucket is ordered.
 
 Whole-number arithmetic throughout, so results do not depend on the order of sums.
 
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 
 from roadpulse.session import materialize
 
-#: Hexadecimal digits of a hash that name its bucket.
-BUCKET_DIGITS = 4
+#: The hash is followed ``DIGITS`` hexadecimal digits at a time, ``DEPTH`` times.
+DIGITS, DEPTH = 2, 3
 #: A table of leaves up to this size is sent to all tasks; a larger one is joined by shuffle.
 BROADCAST_LEAVES = 20_000
 
@@ -105,55 +106,63 @@ def mix(
     max_epochs: int = 1,
     seed: int = 1,
     default: int = 1,
+    columns: list[str] | None = None,
 ) -> DataFrame:
     """The chosen rows of ``docs`` with their levels, ``mix_tokens`` and ``mix_epoch``.
 
-    ``levels`` names the tree's levels from the root and gives their SQL expressions over ``docs``. The budget is ``share`` (a fraction)
-    of all tokens. A document of an epoch is one row.
+    ``levels`` names the tree's levels from the root and gives their SQL expressions over
+    ``docs``. The budget is ``share`` (a fraction) of all tokens. A document of an epoch is one
+    row. ``columns`` are the columns of ``docs`` to return, all by default; with a few short
+    ones the documents are read only once.
     """
     names = [f"mix_{n}" for n in levels]
     named = {f"mix_{n}": w for n, w in weights.items()}
-    marked = docs.withColumns({f"mix_{n}": name_of(e) for n, e in levels.items()} | {"mix_tokens": words_in("text")})
-    keyed = marked.select("doc_id", *names, "mix_tokens")
-    leaves = materialize(keyed.where("mix_tokens > 0").groupBy(*names).agg(F.sum("mix_tokens").alias("mix_supply")))
+    marked = docs.withColumns({f"mix_{n}": name_of(e) for n, e in levels.items()} | {"mix_tokens": words_in("text")}).where("mix_tokens > 0")
+    kept = docs.columns if columns is None else columns
+    few = ["doc_id", *(c for c in columns or [] if c != "doc_id")]
+    sizes = materialize(marked.select(*few, *names, "mix_tokens"))
+    leaves = materialize(sizes.groupBy(*names).agg(F.sum("mix_tokens").alias("mix_supply")))
     budget = F.expr(f"total * {share[0]} DIV {share[1]}")
-    given = materialize(
+    given = _small(
         budgets(leaves, names, named, budget, max_epochs, default).select(
             *names, F.expr("mix_budget DIV mix_supply").alias("mix_whole"), F.expr("mix_budget % mix_supply").alias("mix_rest")
         )
     )
-    given = F.broadcast(given) if given.count() <= BROADCAST_LEAVES else given
-
-    hashed = marked.where("mix_tokens > 0").join(given, names).where("mix_whole > 0 or mix_rest > 0")
     text = F.concat_ws(":", F.lit(str(seed)), F.col("mix_whole"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    hashed = hashed.withColumn("mix_hash", F.md5(text)).withColumn("mix_bucket", F.substring("mix_hash", 1, BUCKET_DIGITS))
-    # where each leaf's rest ends: running sums over a fixed number of buckets, then inside one bucket
-    sums = hashed.groupBy(*names, "mix_bucket", "mix_rest").agg(F.sum("mix_tokens").alias("mix_sum"))
-    ordered = Window.partitionBy(*names).orderBy("mix_bucket")
-    cuts = (
-        sums.withColumn("mix_before", F.sum("mix_sum").over(ordered) - F.col("mix_sum"))
-        .where("mix_before < mix_rest and mix_rest <= mix_before + mix_sum")
-        .select(*names, F.col("mix_bucket").alias("mix_cut"), "mix_before")
-    )
-    cuts = materialize(cuts)
-    cuts = F.broadcast(cuts) if cuts.count() <= BROADCAST_LEAVES else cuts
-    placed = hashed.join(cuts, names, "left")
-    inside = placed.select("doc_id", *names, "mix_tokens", "mix_hash", "mix_bucket", "mix_before", "mix_rest", "mix_cut").where("mix_bucket = mix_cut")
+
+    def hashed(frame: DataFrame) -> DataFrame:
+        return frame.join(given, names).where("mix_whole > 0 or mix_rest > 0").withColumn("mix_hash", F.md5(text))
+
+    # where each leaf's rest ends: the hash is followed digit group by digit group, and only the
+    # rows below the place found so far are summed again
+    cuts = None
+    placed = hashed(sizes)
+    for depth in range(DEPTH):
+        below = placed.withColumns({"mix_prefix": F.lit(""), "mix_before": F.lit(0).cast("long")}) if cuts is None else placed.join(cuts, names).where("startswith(mix_hash, mix_prefix)")
+        sums = below.groupBy(*names, "mix_rest", "mix_prefix", "mix_before", F.substring("mix_hash", 1 + depth * DIGITS, DIGITS).alias("mix_next")).agg(F.sum("mix_tokens").alias("mix_sum"))
+        ordered = Window.partitionBy(*names).orderBy("mix_next")
+        running = sums.withColumn("mix_start", F.col("mix_before") + F.sum("mix_sum").over(ordered) - F.col("mix_sum"))
+        cuts = _small(
+            running.where("mix_start < mix_rest and mix_rest <= mix_start + mix_sum").select(
+                *names, F.concat("mix_prefix", "mix_next").alias("mix_prefix"), F.col("mix_start").alias("mix_before")
+            )
+        )
     within = Window.partitionBy(*names).orderBy("mix_hash", "mix_tokens").rowsBetween(Window.unboundedPreceding, -1)
-    # the last chosen position of the cut's bucket: rows at or before it are chosen
-    last = (
+    inside = placed.join(cuts, names).where("startswith(mix_hash, mix_prefix)")
+    last = _small(
         inside.withColumn("mix_start", F.col("mix_before") + F.coalesce(F.sum("mix_tokens").over(within), F.lit(0)))
         .where("mix_start < mix_rest")
         .groupBy(*names)
         .agg(F.max(F.struct("mix_hash", "mix_tokens")).alias("mix_last"))
     )
-    last = materialize(last)
-    last = F.broadcast(last) if last.count() <= BROADCAST_LEAVES else last
-    chosen = placed.join(last, names, "left")
-    partly = (F.col("mix_bucket") < F.col("mix_cut")) | (
-        (F.col("mix_bucket") == F.col("mix_cut"))
-        & ((F.col("mix_hash") < F.col("mix_last.mix_hash")) | ((F.col("mix_hash") == F.col("mix_last.mix_hash")) & (F.col("mix_tokens") <= F.col("mix_last.mix_tokens"))))
-    )
-    copies = F.col("mix_whole") + F.when(F.coalesce(partly, F.lit(False)), 1).otherwise(0)
+    chosen = hashed(marked if columns is None else sizes).join(last, names, "left")
+    partly = F.coalesce(F.struct("mix_hash", "mix_tokens") <= F.col("mix_last"), F.lit(False))
+    copies = F.col("mix_whole") + F.when(partly, 1).otherwise(0)
     rows = chosen.withColumn("mix_copies", copies.cast("int")).where("mix_copies > 0")
-    return rows.select(*docs.columns, *names, "mix_tokens", F.explode(F.sequence(F.lit(0), F.col("mix_copies") - 1)).alias("mix_epoch"))
+    return rows.select(*kept, *names, "mix_tokens", F.explode(F.sequence(F.lit(0), F.col("mix_copies") - 1)).alias("mix_epoch"))
+
+
+def _small(frame: DataFrame) -> DataFrame:
+    """A table with a row per leaf, sent to all tasks if it is as small as expected."""
+    frame = materialize(frame)
+    return F.broadcast(frame) if frame.count() <= BROADCAST_LEAVES else frame
