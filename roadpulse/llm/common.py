@@ -1,6 +1,7 @@
 """Helpers shared by the corpus operators."""
 
 import re
+import uuid
 
 import numpy as np
 import xxhash
@@ -8,7 +9,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.session import materialize
+from roadpulse.session import checkpoint_dir
 
 #: Words are maximal runs of anything but the six ASCII white-space characters.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -25,6 +26,17 @@ def small_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to a table of its own in the shared checkpoint folder and read it from there.
+
+    Unlike a checkpointed frame, the table brings no constraints of the plan it came from,
+    which grow without end when a loop plans one round on the last.
+    """
+    at = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -23,8 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import components
-from roadpulse.session import materialize
+from roadpulse.llm.common import components, materialize
 
 SAMPLE = 4_096
 PACK = 1_024

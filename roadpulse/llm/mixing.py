@@ -26,7 +26,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadpulse.session import materialize
+from roadpulse.llm.common import materialize
+
 
 #: The hash is followed ``DIGITS`` hexadecimal digits at a time, ``DEPTH`` times.
 DIGITS, DEPTH = 2, 3

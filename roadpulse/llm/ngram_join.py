@@ -28,8 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import POSTINGS, WordHashes, components, expand, fragment_groups, fragments_for, gathered, mixed, scattered, small_batches, squeeze, text_key, window_hashes
-from roadpulse.session import materialize
+from roadpulse.llm.common import POSTINGS, WordHashes, components, expand, fragment_groups, fragments_for, gathered, materialize, mixed, scattered, small_batches, squeeze, text_key, window_hashes
 
 FRAGMENT_BYTES = 32_000_000
 ROUNDS = 6

@@ -23,8 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import POSTINGS, WordHashes, expand, fragment_groups, fragments_for, gathered, mixed, scattered, small_batches, squeeze, text_key, window_hashes
-from roadpulse.session import materialize
+from roadpulse.llm.common import POSTINGS, WordHashes, expand, fragment_groups, fragments_for, gathered, materialize, mixed, scattered, small_batches, squeeze, text_key, window_hashes
 
 SPAN = 35
 # A perfect difference cover, every residue is a difference of two members.
