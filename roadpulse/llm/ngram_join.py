@@ -272,8 +272,15 @@ def drop_duplicates(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame
     per_set = rows.groupBy("key").agg(first)
     if roots is not None:
         per_set = per_set.join(roots.withColumnRenamed("node", "key"), "key", "left").groupBy(F.coalesce("root", "key").alias("key")).agg(F.min("first").alias("first"))
-    kept = per_set.select(F.col("first.doc_id").alias("kept_id"), F.col("first.text_key").alias("kept_key"))
+    kept = materialize(per_set.select(F.col("first.doc_id").alias("kept_id"), F.col("first.text_key").alias("kept_key")))
     keyed = docs.where(worded).withColumn("near_key", text_key("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("near_key") == F.col("kept_key"))
     # rows that repeat both id and text are told apart by nothing: one of them stays
-    stays = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("near_key") == F.col("kept_key"))).dropDuplicates(["kept_id", "kept_key"])
-    return stays.select(*docs.columns).unionByName(docs.where(~worded))
+    repeated = rows.groupBy(F.col("doc_id").alias("row_id"), F.col("text_key").alias("row_key")).count().where("count > 1")
+    own_row = F.col("row_id").eqNullSafe(F.col("kept_id")) & (F.col("row_key") == F.col("kept_key"))
+    again = materialize(kept.join(repeated, own_row, "left_semi"))
+    out = docs.where(~worded)
+    if again.limit(1).count():
+        out = out.unionByName(keyed.join(again, same).dropDuplicates(["kept_id", "kept_key"]).select(*docs.columns))
+        kept = kept.join(repeated, own_row, "left_anti")
+    return out.unionByName(keyed.join(kept, same).select(*docs.columns))
