@@ -85,7 +85,7 @@ def regression_report(df: DataFrame, actual: str = "speed", predicted: str = "pr
         counts, ["_all"], "residual", {"residual_p5": 0.05, "residual_median": 0.5, "residual_p95": 0.95}
     )
     names = ["residual_p5", "residual_median", "residual_p95"]
-    return totals.select("*", *[spread.select(name).scalar().alias(name) for name in names])
+    return totals.withColumn("_spread", spread.select(F.struct(*names)).scalar()).select(*totals.columns, *[F.col(f"_spread.{name}") for name in names])
 
 
 def speed_tier(speed: Column) -> Column:

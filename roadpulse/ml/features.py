@@ -94,15 +94,19 @@ def impute(df: DataFrame, medians: dict[str, float]) -> DataFrame:
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     """``n / (k * n_class)`` per class, k being the number of classes present."""
     counts = df.groupBy(label).agg(F.count("*").alias("n_class"))
-    totals = counts.agg(F.sum("n_class").alias("n"), F.count("*").alias("k"))
-    n, k = totals.select("n").scalar(), totals.select("k").scalar()
-    return counts.select(label, "n_class", (n / (k * F.col("n_class"))).alias("weight"))
+    totals = counts.agg(F.struct(F.sum("n_class").alias("n"), F.count("*").alias("k")).alias("t")).scalar()
+    weight = F.col("_totals.n") / (F.col("_totals.k") * F.col("n_class"))
+    return counts.withColumn("_totals", totals).select(label, "n_class", weight.alias("weight"))
 
 
 def with_class_weights(df: DataFrame, label: str = "label") -> DataFrame:
-    """Adds ``weight``. There are at most as many weights as congestion levels."""
-    weights = class_weights(df, label).select(label, "weight")
-    return df.join(F.broadcast(weights), label)
+    """Adds ``weight``, balanced over the training rows where there is a split.
+
+    There are at most as many weights as congestion levels; a level without training rows gets 1.
+    """
+    training = df.where("split = 0") if "split" in df.columns else df
+    weights = class_weights(training, label).select(label, "weight")
+    return df.join(F.broadcast(weights), label, "left").withColumn("weight", F.coalesce("weight", F.lit(1.0)))
 
 
 def with_split(

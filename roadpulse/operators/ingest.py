@@ -116,7 +116,7 @@ def enrich(
         F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("ingested_at"),
         F.lit(source).alias("source"),
         F.lit(dataset_id).alias("dataset_id"),
-        F.lit("ingestion").alias("phase"),
+        F.lit("raw_ingestion").alias("phase"),
         F.coalesce(safe_double(F.col("speed")), F.lit(0.0)).alias("speed_float"),
         F.coalesce(safe_int(F.col("travel_time")), F.lit(0)).alias("travel_time_int"),
         F.coalesce(safe_int(F.col("status")), F.lit(0)).alias("status_int"),

@@ -331,7 +331,7 @@ def f4_rejected(t):
     "f5_enrich",
     """SELECT "offset" AS kafka_offset, id, speed, try_cast(speed AS DOUBLE) AS speed_float,
        coalesce(try_cast(travel_time AS INTEGER), 0) AS travel_time_int, try_cast(status AS INTEGER) AS status_int,
-       '2024-01-31T00:00:00.000000Z' AS ingested_at, 'ingestion' AS phase FROM verdict_fx WHERE is_valid""",
+       '2024-01-31T00:00:00.000000Z' AS ingested_at, 'raw_ingestion' AS phase FROM verdict_fx WHERE is_valid""",
 )
 def f5(t):
     rows = ingest.valid_rows(ingest.validate(t.messages), ingested_at=F.lit(AS_OF).cast("timestamp"))

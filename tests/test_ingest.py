@@ -70,7 +70,7 @@ def test_valid_rows_keep_every_field_and_add_typed_copies(spark, seed):
         "ingested_at": "2024-02-13T07:10:00.000000Z",
         "source": "feed",
         "dataset_id": "road_speeds",
-        "phase": "ingestion",
+        "phase": "raw_ingestion",
         "speed_float": 47.84,
         "travel_time_int": 66,
         "status_int": 0,
