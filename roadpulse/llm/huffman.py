@@ -131,7 +131,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str = "word_bpe_49k.json", ke
     staged_at = f"{folder}-staged"
 
     def tokenize(batches):
-        encode, press = encoder(tokenizer, keeps_spaces), zstandard.ZstdCompressor(level=3)
+        encode, press = encoder(tokenizer, keeps_spaces), zstandard.ZstdCompressor(level=1)
         end = np.array([end_id], np.uint32)
         for batch in batches:
             ids = [np.concatenate([x, end]) for x in encode([t or "" for t in batch.column(1).to_pylist()])]

@@ -17,8 +17,11 @@ _KNOWN_PIECES = 250_000
 _LONG = 64
 _SPACE = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?!\S)")
-#: Letters with closing punctuation, and perhaps the same again on the next line.
-_PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u0148\u014A-\u024F]+)([.,;:!?]*)(?:\n([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u0148\u014A-\u024F]+)([.,;:!?]*))?")
+_LETTERS = r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u0148\u014A-\u024F]+)"
+_MARKS = r"([!\"#$%&()*+,\-./:;=>?@\[\\\]^_`{|}~]*)"
+#: Letters with punctuation behind them, and perhaps the same again on the next line. An
+#: apostrophe is left out: with the letters after it, it can be one piece.
+_PLAIN = re.compile(f"{_LETTERS}{_MARKS}(?:\n{_LETTERS}{_MARKS})?")
 
 
 class PieceEncoder:

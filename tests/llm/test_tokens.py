@@ -18,7 +18,7 @@ FILES = [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)]
 
 def odd_texts(number, seed=1):
     rng = random.Random(seed)
-    parts = list("ab Zé  \n\t'sll 12!?ñ中́  \x1c\x85Σσİ\0\1zo") + ["<|endoftext|>", "<|startoftext|>", "<s>", "▁", "▁▁", "  ", "'re", "x" * 70, " \n ", "\r\n", "ﬁ", "word. Next, één.\nZwei!? ab.\n"]
+    parts = list("ab Zé  \n\t'sll 12!?ñ中́  \x1c\x85Σσİ\0\1zo") + ["<|endoftext|>", "<|startoftext|>", "<s>", "▁", "▁▁", "  ", "'re", "x" * 70, " \n ", "\r\n", "ﬁ", "word. Next, één.\nZwei!? ab.\n", "abc$$$", "de_f-", "x\\]^", "Y~\nz.#", "don't", "a.'s"]
     return ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(number)]
 
 
