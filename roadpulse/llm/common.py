@@ -4,6 +4,7 @@ import re
 import uuid
 
 import numpy as np
+import pandas as pd
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -191,15 +192,36 @@ def gathered(rows) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.
     return keys, hashes, np.repeat(numbers, counts)[keep], places, checks
 
 
+def _joined(batches):
+    """Links of one task as links to the smallest node of each of its sets."""
+    parent: dict = {}
+
+    def find(x):
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = parent[up]
+            x = up
+        return x
+
+    for pdf in batches:
+        for a, b in zip(pdf["a"], pdf["b"]):
+            a, b = find(a), find(b)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+    rows = [(x, find(x)) for x in list(parent)]
+    yield pd.DataFrame([r for r in rows if r[0] != r[1]], columns=["a", "b"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of ``links`` (a, b): rows (node, root), root the smallest node reachable.
 
-    Each round first points every node to the smallest label around it, then follows the
+    Each task first joins its own part of the links, which leaves one link per node and task.
+    Each round then points every node to the smallest label around it, then follows the
     labels once (pointer jumping), so the rounds grow with the logarithm of a chain. A hub's
     many links meet in an aggregate with map-side combine, never in one list. Labels are
     written to the checkpoint folder each round; only a count reaches the driver.
     """
-    links = materialize(links.select("a", "b").where("a <> b").distinct())
+    kind = links.schema["a"].dataType.simpleString()
+    links = materialize(links.select("a", "b").where("a <> b").mapInPandas(_joined, f"a {kind}, b {kind}"))
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     roots = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("root")))
     while True:

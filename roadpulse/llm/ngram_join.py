@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from roadpulse.llm.common import POSTINGS, WordHashes, components, expand, fragment_groups, fragments_for, gathered, materialize, mixed, scattered, small_batches, squeeze, text_key, window_hashes
 
 FRAGMENT_BYTES = 32_000_000
-ROUNDS = 6
+ROUNDS = 4
 
 _BASE = 0x9E3779B97F4A7C15
 _PAIRS = "a binary, b binary, shared long"
