@@ -4,8 +4,8 @@ Every document is a set of hashed word n-grams. The global order of n-grams (by
 into fragments; a task holds one fragment of all documents, counts partial overlaps of pairs
 there, and the counts are summed per pair. Documents with equal sets are one node.
 
-A pair of a group is not counted with every other member. Per round, a member of an n-gram's
-group is counted only with the group's centre of another component (the smallest under a
+A member of a group is not counted with every other one. Per round, a member of an n-gram's
+group is counted only with a few centres of other components (the smallest members under a
 seeded order), so the work is linear in the postings. A sum is a lower bound of the overlap: where
 it reaches the threshold the link is certain. After each round, a document stays only if enough
 of its n-grams are shared with other components to allow any further link, and n-grams whose
@@ -32,10 +32,12 @@ from roadpulse.llm.common import POSTINGS, WordHashes, components, expand, fragm
 
 FRAGMENT_BYTES = 32_000_000
 ROUNDS = 4
+#: Centres of one group that a member is counted with in a round.
+CENTRES = 8
 
 _BASE = 0x9E3779B97F4A7C15
 _PAIRS = "a binary, b binary, shared long"
-_BLOCK_PAIRS = 1_000_000
+_BLOCK_NODES, _BLOCK_GROUPS = 1_024, 2_048
 
 
 def shingles(text: str | None, n: int, hashes: WordHashes) -> np.ndarray:
@@ -145,7 +147,17 @@ def _star_counts(row, nodes, seed: int) -> pd.DataFrame:
     inside = label[at] == np.repeat(best_label, sizes)
     second = np.minimum.reduceat(np.where(inside, len(keys), ranks), starts)
     centre = order[np.where(inside, np.repeat(second, sizes), np.repeat(best, sizes))]
-    pair, counts = np.unique(at * len(keys) + centre, return_counts=True)
+    found = [at * len(keys) + centre]
+    # further centres of large groups, each counted with the members of other components
+    ranked = at[np.lexsort((ranks, np.repeat(np.arange(len(sizes)), sizes)))]
+    for c in range(1, min(CENTRES, int(sizes.max()))):
+        wide = sizes > c
+        further = np.repeat(ranked[(starts + c)[wide]], sizes[wide])
+        inside_wide = np.repeat(wide, sizes)
+        near = at[inside_wide]
+        apart = (label[near] != label[further]) & (further != centre[inside_wide])  # counted above
+        found.append(near[apart] * len(keys) + further[apart])
+    pair, counts = np.unique(np.concatenate(found), return_counts=True)
     a, b = pair // len(keys), pair % len(keys)
     likely = counts * 2 >= own[a]
     a, b, counts = a[likely], b[likely], counts[likely]
@@ -155,29 +167,44 @@ def _star_counts(row, nodes, seed: int) -> pd.DataFrame:
     )
 
 
-def _pair_counts(row, nodes) -> list[pd.DataFrame]:
-    """Shared n-grams of all pairs of different components, in blocks of bounded size."""
+def _pair_counts(row, nodes) -> pd.DataFrame:
+    """Shared n-grams of all pairs of different components.
+
+    Nodes are taken in blocks; the counts of two blocks are a matrix product over the n-grams,
+    taken in slices, so memory is bounded by the block and by the pairs that share something.
+    """
     keys, label, at, starts, sizes = _open_groups(row, nodes)
-    found, waiting, held = [], [], 0
-
-    def flush():
-        pair, counts = np.unique(np.concatenate(waiting), return_counts=True)
-        a, b = pair // len(keys), pair % len(keys)
-        found.append(pd.DataFrame({"a": [keys[i] for i in a], "b": [keys[i] for i in b], "shared": counts}))
-        waiting.clear()
-
-    for start, size in zip(starts, sizes):
-        own = np.sort(at[start : start + size])
-        for i in range(size - 1):
-            others = own[i + 1 :][label[own[i + 1 :]] != label[own[i]]]
-            waiting.append(own[i] * len(keys) + others)
-            held += len(others)
-        if held >= _BLOCK_PAIRS:
-            flush()
-            held = 0
-    if held:
-        flush()
-    return found
+    nothing = pd.DataFrame({"a": [], "b": [], "shared": []})
+    if not len(starts):
+        return nothing
+    group = np.repeat(np.arange(len(sizes)), sizes)
+    present, local = np.unique(at, return_inverse=True)
+    order = np.argsort(local, kind="stable")
+    local, group = local[order], group[order]
+    edges = np.searchsorted(local, np.arange(0, len(present) + _BLOCK_NODES, _BLOCK_NODES))
+
+    def dense(block: int, first: int, width: int) -> np.ndarray:
+        own = slice(edges[block], edges[block + 1])
+        near = (group[own] >= first) & (group[own] < first + width)
+        out = np.zeros((_BLOCK_NODES, width), np.float32)
+        out[local[own][near] - block * _BLOCK_NODES, group[own][near] - first] = 1
+        return out
+
+    blocks, out_a, out_b, out_n = len(edges) - 1, [], [], []
+    for i in range(blocks):
+        for j in range(i, blocks):
+            counts = np.zeros((_BLOCK_NODES, _BLOCK_NODES), np.float32)
+            for first in range(0, len(sizes), _BLOCK_GROUPS):
+                counts += dense(i, first, _BLOCK_GROUPS) @ dense(j, first, _BLOCK_GROUPS).T
+            x, y = np.nonzero(np.triu(counts, 1) if i == j else counts)
+            a, b = present[x + i * _BLOCK_NODES], present[y + j * _BLOCK_NODES]
+            apart = label[a] != label[b]
+            out_a.append(a[apart])
+            out_b.append(b[apart])
+            out_n.append(counts[x, y][apart].astype(np.int64))
+    a, b, n = np.concatenate(out_a), np.concatenate(out_b), np.concatenate(out_n)
+    table = np.array(keys, dtype=object)
+    return pd.DataFrame({"a": table[a], "b": table[b], "shared": n}) if len(a) else nothing
 
 
 def _count(groups: DataFrame, nodes: DataFrame | None, seed: int | None) -> DataFrame:
@@ -203,7 +230,7 @@ def _count(groups: DataFrame, nodes: DataFrame | None, seed: int | None) -> Data
             known = dict(zip(right["key"], right["label"]))
             out = []
             for row in left.itertuples(index=False):
-                out += [_star_counts(row, known, seed)] if seed is not None else _pair_counts(row, known)
+                out.append(_star_counts(row, known, seed) if seed is not None else _pair_counts(row, known))
             return pd.concat(out) if out else pd.DataFrame({"a": [], "b": [], "shared": []})
 
         partial = groups.groupBy("fragment").cogroup(where.groupBy("fragment")).applyInPandas(together, _PAIRS)
