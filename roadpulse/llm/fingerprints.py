@@ -110,7 +110,9 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     cuts = docs.select(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], 10_000)).first()[0] or []
     cuts = sorted(set(cuts), reverse=True)
     # range 0 holds the largest ids, the last one the rows without an id
-    part = F.coalesce(F.aggregate(F.array(*map(F.lit, cuts)) if cuts else F.array().cast("array<long>"), F.lit(0), lambda n, c: n + F.when(F.col("doc_id") < c, 1).otherwise(0)), F.lit(len(cuts) + 1))
+    bounds = F.array(*map(F.lit, cuts)) if cuts else F.array().cast("array<long>")
+    above = F.aggregate(bounds, F.lit(0), lambda n, c: n + F.when(F.col("doc_id") < c, 1).otherwise(0))
+    part = F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(above)
     placed = docs.withColumn("part", part)
     heads = {r.part: r.head for r in placed.groupBy("part").agg(F.max("doc_id").alias("head")).collect()}
     present = sorted(heads)
