@@ -138,35 +138,28 @@ def s6(t):
 _TRAINED: dict[tuple[str, str], train.TrainedModels] = {}
 
 
-def _small_models(t):
-    """Models of moderate size, trained once per application and folder on the whole table."""
+def _models(t):
+    """Models at the published settings, trained once per application and folder on the whole table."""
     key = (t.spark.sparkContext.applicationId, t.folder)
     if key not in _TRAINED:
-        _TRAINED[key] = train.train(
-            t.traffic,
-            AS_OF,
-            31,
-            classifier_params={"numTrees": 10, "maxDepth": 5},
-            regressor_params={"maxIter": 5, "maxDepth": 4},
-            forest_params={"trees": 40},
-        )
+        _TRAINED[key] = train.train(t.traffic, AS_OF, 31)
     return _TRAINED[key]
 
 
 @query("m13_score")
 def m13(t):
-    return score.score(t.traffic, _small_models(t)).select("record_id", *score.PREDICTION_COLUMNS)
+    return score.score(t.traffic, _models(t)).select("record_id", *score.PREDICTION_COLUMNS)
 
 
 @query("m14_traffic_predict")
 def m14(t):
-    return score.traffic_predict(t.traffic, _small_models(t), 20)
+    return score.traffic_predict(t.traffic, _models(t), 20)
 
 
 @query("p2_score_with_fallback")
 def p2(t):
     broken = t.traffic.withColumn("speed", F.when(F.col("speed") == 0, F.lit(float("nan"))).otherwise(F.col("speed")))
-    rows = score.score(broken, _small_models(t))
+    rows = score.score(broken, _models(t))
     return rows.groupBy("predicted_congestion").agg(
         F.count("*").alias("n"), F.count("predicted_speed").alias("with_speed"), F.min("congestion_confidence").alias("lowest_confidence")
     )
@@ -176,10 +169,10 @@ def p2(t):
 def m6(t):
     rows = training_rows(t.traffic)
     filled = impute(rows, fit_imputer(rows, ANOMALY_FEATURES))
-    forest = isoforest.fit(filled, ANOMALY_FEATURES, trees=60)
+    forest = isoforest.fit(filled, ANOMALY_FEATURES)
     return isoforest.with_anomaly(filled, forest).select("record_id", "anomaly_score", "is_anomaly")
 
 
 @query("m19_model_metadata")
 def m19(t):
-    return train.metadata_table(_small_models(t), t.spark)
+    return train.metadata_table(_models(t), t.spark)

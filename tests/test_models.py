@@ -172,3 +172,38 @@ def test_jobs_and_live_scoring(spark, table, tmp_path):
 def test_rounding_of_predictions(spark):
     df = spark.createDataFrame([(0.123456,)], "v double")
     assert df.select(round_dec(F.col("v"), 4)).first()[0] == 0.1235
+
+
+def test_registered_queries_train_at_published_settings(spark, table, monkeypatch):
+    """The sizes that reach the learners are the defaults: 200 trees of depth 12, 200 rounds of depth 5, 200 isolation trees."""
+    from types import SimpleNamespace
+
+    from roadpulse.plans.catalog import streams
+
+    seen = {}
+
+    class Reached(Exception):
+        pass
+
+    def fit_all(labelled, tune, classifier_params, regressor_params, forest_params, version):
+        seen["classifier"], seen["regressor"] = train.classifier(classifier_params), train.regressor(regressor_params)
+        seen["forest"] = forest_params
+        raise Reached
+
+    def tree_samples(df, features, trees, *rest):
+        seen["trees"] = trees
+        raise Reached
+
+    monkeypatch.setattr(train, "_fit_all", fit_all)
+    monkeypatch.setattr(isoforest, "tree_samples", tree_samples)
+    t = SimpleNamespace(spark=spark, folder="none", traffic=table.drop("planted"))
+    for query in (streams.m13, streams.m14, streams.p2, streams.m19):
+        seen.clear()
+        with pytest.raises(Reached):
+            query(t)
+        assert (seen["classifier"].getNumTrees(), seen["classifier"].getMaxDepth()) == (200, 12)
+        assert (seen["regressor"].getMaxIter(), seen["regressor"].getMaxDepth()) == (200, 5)
+        assert not seen["forest"]
+    with pytest.raises(Reached):
+        streams.m6(t)
+    assert seen["trees"] == 200
