@@ -1,5 +1,8 @@
 """Continuous validation, routing, deduplication and publishing of raw readings."""
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -70,13 +73,23 @@ def start_routing(
 
 
 def write_polled(paths: TablePaths):
-    """``foreachBatch`` function: every fetched row goes to the raw topic, with poll statistics."""
+    """``foreachBatch`` function: every fetched row goes to the raw topic, with poll statistics.
+
+    The elapsed time covers fetching and publishing. A failed attempt leaves a row of its own
+    with one error and is raised, so that Spark repeats the poll.
+    """
+    place = f"{paths.root}/poll_statistics"
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        started = time.monotonic()
         rows, key = batch.persist(), batch_key(batch, batch_id)
         try:
             write_batch(ingest.raw_envelope(rows), paths.topic("raw"), key)
-            write_batch(ingest.poll_statistics(rows), f"{paths.root}/poll_statistics", key)
+            write_batch(ingest.poll_statistics(rows, time.monotonic() - started), place, key)
+        except Exception:
+            none = batch.sparkSession.createDataFrame([], RAW)
+            write_batch(ingest.poll_statistics(none, time.monotonic() - started, errors=1), place, f"{key}_failed_{uuid.uuid4().hex}")
+            raise
         finally:
             rows.unpersist()
 

@@ -73,6 +73,52 @@ def test_polling_stream(spark, tmp_path):
     assert sorted(json.loads(r["value"])["id"] for r in raw.collect()) == ["0", "1", "2"]
 
 
+@pytest.mark.parametrize("size, last", [(1000, 7), (10, 10), (10, 3)])
+def test_without_a_limit_every_page_is_read(feed, tmp_path, size, last):
+    sizes = [size] * (3 if size == 1000 else 19) + [last]
+    pages(tmp_path, sizes, size)
+    df = feed.options(pages=str(tmp_path), pageSize=size, readers=4).load()
+    assert df.rdd.getNumPartitions() == 4
+    assert sorted(int(r["id"]) for r in df.collect()) == list(range(sum(sizes)))
+    assert df.where("borough = 'Queens'").count() == sum(sizes) // 2  # filtered pages are no short pages
+
+
+def test_a_page_larger_than_the_page_size_is_refused(feed, tmp_path):
+    pages(tmp_path, [12], 10)
+    with pytest.raises(PySparkException, match="more than pageSize"):
+        feed.options(pages=str(tmp_path), pageSize=10).load().collect()
+
+
+def poll_once(spark, folder, root, **options):
+    from roadpulse.streaming.processing import TablePaths
+    from roadpulse.streaming.routing import start_polling
+
+    spark.dataSource.register(rest.RoadFeed)
+    stream = spark.readStream.format("road_feed").options(pages=str(folder), **options).load()
+    paths = TablePaths(str(root / "out"))
+    return start_polling(stream, paths, str(root / "cp"), once=True), paths
+
+
+def test_a_poll_fetches_every_page(spark, tmp_path):
+    pages(tmp_path, [1000, 1000, 500], 1000)
+    for polls in (1, 2):  # the second one goes on from the checkpoint
+        query, paths = poll_once(spark, tmp_path, tmp_path)
+        assert query.awaitTermination(120)
+        assert spark.read.parquet(paths.topic("raw")).count() == 2500 * polls
+    for row in spark.read.parquet(f"{paths.root}/poll_statistics").collect():
+        assert (row["fetched"], row["duplicates"], row["errors"]) == (2500, 0, 0)
+        assert row["rate_per_min"] > 2500  # these polls took less than a minute
+
+
+def test_a_failed_poll_is_counted(spark, tmp_path):
+    (tmp_path / "page-0.json").write_text("no json")
+    query, paths = poll_once(spark, tmp_path, tmp_path)
+    with pytest.raises(PySparkException):
+        query.awaitTermination(120)
+    rows = spark.read.parquet(f"{paths.root}/poll_statistics").collect()
+    assert [(r["fetched"], r["errors"], r["rate_per_min"]) for r in rows] == [(0, 1, 0.0)]
+
+
 def test_retry_waits_longer_each_time():
     calls, waits = [], []
 
