@@ -18,8 +18,13 @@ MIX_SHARE = (9, 10)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored 0.5 or more go; the model is fitted on the labelled documents that came in."""
+    """Documents scored 0.5 or more go; the model is fitted on the labelled documents that came in.
+
+    Where no labelled document came in nothing is fitted, and all documents stay.
+    """
     weights = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    if not toxicity.fitted(weights):
+        return docs
     return toxicity.score(docs, weights, "toxic_score").where("toxic_score < 0.5").select(*docs.columns)
 
 

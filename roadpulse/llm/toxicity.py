@@ -102,6 +102,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Weights
     return ftrl(train_rows(docs, labels, max_rows))
 
 
+def fitted(weights: Weights) -> bool:
+    """False where no labelled row was there to fit on, so that every score is 0.5."""
+    return len(weights.slots) > 0 or weights.bias != 0.0
+
+
 def score(docs: DataFrame, weights: Weights, name: str = "score") -> DataFrame:
     """The documents with the probability of label 1 as a further column."""
     small_batches(docs.sparkSession)

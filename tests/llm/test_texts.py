@@ -241,6 +241,15 @@ def test_stages(spark):
             assert 0.89 < words[1] / words[0] <= 1 and Counter(rows) <= Counter(before)
 
 
+@pytest.mark.parametrize("case", ["no rows", "no labels", "no such ids"])
+def test_no_usable_label_keeps_all_documents(spark, texts, tmp_path, case):
+    rows = {"no rows": [], "no labels": [(1, 1, None), (2, 1, None)], "no such ids": [(77, 1, 1), (78, 1, 0)]}[case]
+    spark.createDataFrame(rows, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = texts([(1, "a b c"), (2, "d e"), (None, "f"), (3, None)])
+    kept = corpus_pipeline.drop_toxic(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns and Counter(kept.collect()) == Counter(docs.collect())
+
+
 def test_run(spark):
     out = corpus_pipeline.run(spark, FOLDER)
     assert {"doc_id", "ids", "sequence_id"} <= set(out.columns) and out.count() > 0
