@@ -10,7 +10,9 @@ A leaf serves its budget from seeded epochs: every full epoch gives each documen
 last epoch gives the documents whose first token lies before the rest of the budget, in the
 order of a seeded hash. That order is never sorted as a whole: documents are summed by the
 first digits of their hash, then by the next ones inside the one bucket that a leaf's cut falls
-into, and only the last, small bucket is ordered.
+into, and only the last, small bucket is ordered, by its distinct pairs of hash and size. Rows
+that share the pair at which a leaf's budget ends (rows without doc_id, or copies) are counted,
+and exactly as many of them are taken as still begin before its end.
 
 Whole-number arithmetic throughout, so results do not depend on the order of sums.
 
@@ -150,17 +152,42 @@ def mix(
         )
     within = Window.partitionBy(*names).orderBy("mix_hash", "mix_tokens").rowsBetween(Window.unboundedPreceding, -1)
     inside = placed.join(cuts, names).where("startswith(mix_hash, mix_prefix)")
+    alike = inside.groupBy(*names, "mix_rest", "mix_before", "mix_hash", "mix_tokens").agg(F.count(F.lit(1)).alias("mix_count"))
     last = _small(
-        inside.withColumn("mix_start", F.col("mix_before") + F.coalesce(F.sum("mix_tokens").over(within), F.lit(0)))
+        alike.withColumn("mix_start", F.col("mix_before") + F.coalesce(F.sum(F.col("mix_tokens") * F.col("mix_count")).over(within), F.lit(0)))
         .where("mix_start < mix_rest")
+        .withColumn("mix_take", F.expr("least(mix_count, (mix_rest - mix_start + mix_tokens - 1) DIV mix_tokens)"))
         .groupBy(*names)
-        .agg(F.max(F.struct("mix_hash", "mix_tokens")).alias("mix_last"))
+        .agg(F.max(F.struct("mix_hash", "mix_tokens", "mix_count", "mix_take")).alias("mix_last"))
     )
     chosen = hashed(marked if columns is None else sizes).join(last, names, "left")
-    partly = F.coalesce(F.struct("mix_hash", "mix_tokens") <= F.col("mix_last"), F.lit(False))
-    copies = F.col("mix_whole") + F.when(partly, 1).otherwise(0)
-    rows = chosen.withColumn("mix_copies", copies.cast("int")).where("mix_copies > 0")
-    return rows.select(*kept, *names, "mix_tokens", F.explode(F.sequence(F.lit(0), F.col("mix_copies") - 1)).alias("mix_epoch"))
+    split = F.expr("mix_hash = mix_last.mix_hash and mix_tokens = mix_last.mix_tokens and mix_last.mix_take < mix_last.mix_count")
+    partly = F.struct("mix_hash", "mix_tokens") <= F.struct("mix_last.mix_hash", "mix_last.mix_tokens")
+    partly = F.coalesce(F.col("mix_last").isNotNull() & partly, F.lit(False))
+    if last.where("mix_last.mix_take < mix_last.mix_count").limit(1).count():
+        tied = _numbered(chosen.where(split), names)
+        taken = F.col("mix_number") <= F.col("mix_last.mix_take")
+        parts = [(chosen.where(~F.coalesce(split, F.lit(False))), partly), (tied, taken)]
+    else:
+        parts = [(chosen, partly)]
+    out = None
+    for frame, once_more in parts:
+        rows = frame.withColumn("mix_copies", (F.col("mix_whole") + F.when(once_more, 1).otherwise(0)).cast("int")).where("mix_copies > 0")
+        rows = rows.select(*kept, *names, "mix_tokens", F.explode(F.sequence(F.lit(0), F.col("mix_copies") - 1)).alias("mix_epoch"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _numbered(rows: DataFrame, names: list[str]) -> DataFrame:
+    """Rows with ``mix_number``, from 1 inside each leaf; a window holds rows of one part of the table."""
+    at = materialize(rows.withColumn("mix_at", F.monotonically_increasing_id()))
+    at = at.withColumn("mix_part", F.shiftright("mix_at", 33))
+    sums = at.groupBy(*names, "mix_part").agg(F.count(F.lit(1)).alias("mix_sum"))
+    before = Window.partitionBy(*names).orderBy("mix_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*names, "mix_part", F.coalesce(F.sum("mix_sum").over(before), F.lit(0)).alias("mix_offset"))
+    order = F.row_number().over(Window.partitionBy(*names, "mix_part").orderBy("mix_at"))
+    numbers = at.select(*names, "mix_part", "mix_at", order.alias("mix_order")).join(sums, [*names, "mix_part"])
+    return at.join(numbers.select("mix_at", (F.col("mix_offset") + F.col("mix_order")).alias("mix_number")), "mix_at")
 
 
 def _small(frame: DataFrame) -> DataFrame:

@@ -213,6 +213,30 @@ def test_mixture(spark, texts):
     assert mixing.mix(texts([]), levels, {}).collect() == []
 
 
+def test_rows_alike_do_not_exceed_a_budget(texts):
+    """Rows without an id and copies share a place in the order; only as many as fit are taken."""
+    for ident in (None, 5):
+        docs = texts([(ident, f"w{i} x") for i in range(100)] + [(ident, "a b c d")] * 10)
+        got = mixing.mix(docs, {"side": "label"}, {}, share=(1, 2)).collect()
+        assert (sum(r.mix_tokens for r in got), len(got)) == (120, 60) and len({r.text for r in got}) == 60
+        twice = mixing.mix(docs, {"side": "label"}, {}, share=(3, 2), max_epochs=2, columns=["doc_id"]).collect()
+        assert sum(r.mix_tokens for r in twice) == 360 and sum(r.mix_epoch == 0 for r in twice) == 110
+
+
+def test_mixing_without_ids_equals_its_sql(spark, tmp_path):
+    import duckdb
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    docs = docs.withColumn("doc_id", F.when(F.col("doc_id") % 3 != 0, F.col("doc_id")))
+    short = docs.where("doc_id is null").withColumn("text", F.lit("one two three")).crossJoin(spark.range(20)).drop("id")
+    docs.unionByName(short).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    base = duckdb.connect()
+    base.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = Counter(base.execute(catalog.ORACLES["op1_mixing"]).fetchall())
+    assert Counter(tuple(r) for r in catalog.op1_mixing(spark, str(tmp_path)).collect()) == want
+
+
 def test_words_in(texts):
     rows = [(1, " a  b\tc d "), (2, None), (3, ""), (4, "\n"), (5, "é\x0bx")]
     got = {r.doc_id: r.n_ for r in texts(rows).withColumn("n_", mixing.words_in("text")).collect()}
