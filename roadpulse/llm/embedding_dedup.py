@@ -6,15 +6,15 @@ of two lower bounds (how near the cell's halves can come) and stops where no vec
 can reach the threshold any more, so the traversal ends at a recall of 1 rather than at a
 number of cells. Candidates are verified by the cosine in double precision.
 
-The codebooks are fitted on a bounded sample (``SAMPLE``) and only steer the traversal: bounds
-hold for any codebook. Cells are split into packs of at most ``PACK`` vectors; a pair of packs
+Only vectors of one label and one length are compared. Every length has codebooks of its own,
+fitted on a bounded sample (``SAMPLE``); they only steer the traversal: bounds hold for any
+codebook. Cells are split into packs of at most ``PACK`` vectors; a pair of packs
 is one task's matrix product, so a crowded cell is many small products. A product returns the
 numbers of links and a spanning set of edges per group of linked vectors, not every pair.
 Equal vectors of a label are one node with a weight.
 
 Defined results: a row without label, or whose vector is null, zero, holds null or non-finite
-components or has another length than most, links with nothing and is its own component; rows
-without vec_id take part and their component's id is its smallest id; an empty table gives an
+components, links with nothing and is its own component; rows without vec_id take part and their component's id is its smallest id; an empty table gives an
 empty result; further columns are ignored.
 """
 
@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 from roadpulse.llm.common import components, materialize
 
-SAMPLE = 4_096
+#: Vectors that codebooks are fitted on: shared by all lengths, and the least of one length.
+SAMPLE, LEAST_SAMPLE = 4_096, 256
 PACK = 1_024
 PER_CELL = 100
 PACKS_AT_ONCE = 64
@@ -103,6 +104,23 @@ def linked(queries: tuple, stored: tuple, threshold: float) -> pd.DataFrame:
     return out[out["a"] != out["b"].fillna(-1)]
 
 
+def _codebooks(nodes: DataFrame, lengths: dict) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Both codebooks of every length, from vectors with small hashes."""
+    most, space = max(LEAST_SAMPLE, SAMPLE // len(lengths)), 1 << 40
+    limits = nodes.sparkSession.createDataFrame([(k, -(-2 * most * space // r.number)) for k, r in lengths.items()], "length int, most long")
+    some = nodes.join(F.broadcast(limits), "length").withColumn("place", F.pmod(F.xxhash64("key"), F.lit(space))).where("place < most")
+    found: dict[int, list] = {}
+    for r in some.select("length", "place", "embedding").collect():
+        found.setdefault(r.length, []).append((r.place, r.embedding))
+    books = {}
+    for k, r in lengths.items():
+        # a length none of whose vectors has a small hash gets one codeword
+        points = _unit(np.array([v for _, v in sorted(found.get(k, [(0, [1.0] * k)]))[:most]], np.float32))
+        size = int(np.clip(np.ceil(np.sqrt(r.number / max(r.labels, 1) / PER_CELL)), 4, 1_024))
+        books[k] = (codebook(points[:, : k // 2], size), codebook(points[:, k // 2 :], size))
+    return books
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     """vec_id, n_links, component_id and kept of every row of ``vectors``."""
     spark = vectors.sparkSession
@@ -110,44 +128,42 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     usable = F.col("label").isNotNull() & F.coalesce(
         F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))) & F.exists("embedding", lambda x: x != 0), F.lit(False)
     )
-    lengths = rows.where(usable).groupBy(F.size("embedding").alias("length")).count().orderBy(F.desc("count"), "length").first()
-    usable = usable & (F.size("embedding") == (lengths["length"] if lengths else 0))
-    # a row's node is named by its label and vector; copies of a vector share it
-    rows = rows.withColumn("key", F.when(usable, F.md5(F.concat_ws(",", "label", F.col("embedding").cast("array<string>")))))
+    # a row's node is named by its length, label and vector; copies of a vector share it
+    rows = rows.withColumn("key", F.when(usable, F.md5(F.concat_ws(",", F.size("embedding"), "label", F.col("embedding").cast("array<string>")))))
     nodes = rows.where("key is not null").groupBy("key").agg(F.min("vec_id").alias("head"), F.count(F.lit(1)).alias("weight"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()))
-    number, labels = nodes.agg(F.count(F.lit(1)), F.approx_count_distinct("label")).first()
-    if not number:
+    # from here on a label is one of a length, so that unlike lengths never meet
+    nodes = nodes.withColumn("length", F.size("embedding")).withColumn("label", F.concat_ws(":", "length", "label"))
+    lengths = {r.length: r for r in nodes.groupBy("length").agg(F.count(F.lit(1)).alias("number"), F.approx_count_distinct("label").alias("labels")).collect()}
+    if not lengths:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
-    sample = _unit(np.array([r.embedding for r in nodes.orderBy(F.xxhash64("key")).limit(SAMPLE).select("embedding").collect()], np.float32))
-    size = int(np.clip(np.ceil(np.sqrt(number / max(labels, 1) / PER_CELL)), 4, 1_024))
-    half = sample.shape[1] // 2
-    books = spark.sparkContext.broadcast((codebook(sample[:, :half], size), codebook(sample[:, half:], size)))
+    books = spark.sparkContext.broadcast(_codebooks(nodes, lengths))
     most = 2 - 2 * threshold + 1e-9  # squared distance of unit vectors at the threshold
 
     def place(batches):
-        first, second = books.value
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            raw = np.array(list(pdf["embedding"]), np.float32)
-            unit = _unit(raw)
-            (own_1, near_1), (own_2, near_2) = bounds(unit[:, :half], first), bounds(unit[:, half:], second)
-            out = {"label": [], "cell": [], "stored": [], "node": [], "weight": [], "vector": []}
-
-            def put(k, cells, stored):
-                out["label"] += [pdf["label"].iat[k]] * len(cells)
-                out["cell"] += list(cells)
-                out["stored"] += [stored] * len(cells)
-                out["node"] += [pdf["node"].iat[k]] * len(cells)
-                out["weight"] += [pdf["weight"].iat[k]] * len(cells)
-                out["vector"] += [raw[k].tobytes()] * len(cells)
-
-            for k in range(len(pdf)):
-                put(k, [own_1[k] * len(second) + own_2[k]], True)
-                i, j = visited(near_1[k], near_2[k], most)
-                put(k, i * len(second) + j, False)
-            yield pd.DataFrame(out)
+        for mixed in batches:
+            for length, pdf in mixed.groupby(mixed["embedding"].map(len)):
+                yield placed_in(pdf, *books.value[length])
+
+    def placed_in(pdf, first, second):
+        raw = np.array(list(pdf["embedding"]), np.float32)
+        unit, half = _unit(raw), first.shape[1]
+        (own_1, near_1), (own_2, near_2) = bounds(unit[:, :half], first), bounds(unit[:, half:], second)
+        out = {"label": [], "cell": [], "stored": [], "node": [], "weight": [], "vector": []}
+
+        def put(k, cells, stored):
+            out["label"] += [pdf["label"].iat[k]] * len(cells)
+            out["cell"] += list(cells)
+            out["stored"] += [stored] * len(cells)
+            out["node"] += [pdf["node"].iat[k]] * len(cells)
+            out["weight"] += [pdf["weight"].iat[k]] * len(cells)
+            out["vector"] += [raw[k].tobytes()] * len(cells)
+
+        for k in range(len(pdf)):
+            put(k, [own_1[k] * len(second) + own_2[k]], True)
+            i, j = visited(near_1[k], near_2[k], most)
+            put(k, i * len(second) + j, False)
+        return pd.DataFrame(out)
 
     placed = nodes.select("label", "node", "weight", "embedding").mapInPandas(place, "label string, cell long, stored boolean, node long, weight long, vector binary")
     placed = materialize(placed)

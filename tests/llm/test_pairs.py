@@ -103,6 +103,21 @@ def test_embedding_links(spark, monkeypatch):
     assert embedding_dedup.near_duplicates(frame.limit(0)).collect() == []
 
 
+def test_embeddings_of_several_lengths(spark):
+    """Each length is linked by itself, also the rarer ones."""
+    rng = np.random.default_rng(2)
+    parts = []
+    for number, length in ((300, 8), (200, 5), (20, 2), (4, 1)):
+        base = rng.normal(size=(8, length))
+        first = 1000 * length
+        parts.append([(first + i, i % 2, (base[rng.integers(8)] + rng.normal(size=length) * 0.05).astype(np.float32).tolist()) for i in range(number)])
+    rows = [r for part in parts for r in part]
+    frame = spark.createDataFrame([rows[i] for i in rng.permutation(len(rows))], "vec_id long, label int, embedding array<float>")
+    got = Counter(tuple(r) for r in embedding_dedup.near_duplicates(frame).collect())
+    assert got == sum((Counter(brute.cosine_links(part)) for part in parts), Counter())
+    assert sum(n > 0 for i, n, _, _ in got if i < 8000) > 100
+
+
 def test_traversal_misses_nothing():
     rng = np.random.default_rng(3)
     unit = rng.normal(size=(3000, 6)) + np.eye(6)[rng.integers(6, size=3000)] * 4
