@@ -1,8 +1,8 @@
 """Secret scans: fixed rules plus two character Markov models compared by log-likelihood ratio.
 
 One model describes random strings, the other ordinary identifiers and words. A candidate (a
-run of 20 or more key characters that has both a letter and a digit and lies outside every
-rule match) is reported when the random model explains it better by ``threshold`` nats.
+run of 16 or more key characters, or what a rule match leaves of one) is reported when the
+random model explains it better by ``threshold`` nats, or by its share for less than 20.
 
 Defined results: a null or empty text has no spans; long texts are scanned whole; equal rows
 give equal rows; an empty table gives an empty result (the models then rest on the generated
@@ -27,8 +27,9 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 KINDS = ("assign", "access", "hex")
 
 _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-_CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
-_DIGIT, _LETTER = re.compile("[0-9]"), re.compile("[A-Za-z]")
+#: Candidates have ``SHORTEST`` characters; the threshold is that of ``FULL`` characters.
+SHORTEST, FULL = 16, 20
+_CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % SHORTEST)
 
 SPANS_TYPE = "array<struct<kind:string,start:int,end:int>>"
 
@@ -46,6 +47,9 @@ class MarkovPair(NamedTuple):
         codes = np.frombuffer(("\x02" + text).encode("ascii"), np.uint8)
         return float(self.ratio[codes[:-1], codes[1:]].sum())
 
+    def is_random(self, text: str) -> bool:
+        return self.score(text) >= self.threshold * min(1.0, len(text) / FULL)
+
 
 def rule_spans(text: str) -> list[tuple[int, int, str]]:
     """Matches of the fixed rules as (start, end, kind), by start and then by kind as listed."""
@@ -59,6 +63,16 @@ def rule_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
+def _outside(start: int, end: int, spans: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """The parts of a run outside ``spans``, which come by their start."""
+    parts = []
+    for a, b, _ in spans:
+        if b > start and a < end:
+            parts.append((start, a))
+            start = b
+    return [(a, b) for a, b in [*parts, (start, end)] if a < b]
+
+
 def all_spans(text: str | None, models: MarkovPair) -> list[tuple[int, int, str]]:
     """Rule spans and added spans of kind ``markov``, which never overlap a rule span."""
     if not text:
@@ -66,10 +80,8 @@ def all_spans(text: str | None, models: MarkovPair) -> list[tuple[int, int, str]
     base = rule_spans(text)
     added = []
     for m in _CANDIDATE.finditer(text):
-        run = m[0]
-        if _DIGIT.search(run) and _LETTER.search(run) and models.score(run) >= models.threshold:
-            start, end = m.span()
-            if all(end <= a or start >= b for a, b, _ in base):
+        for start, end in _outside(*m.span(), base):
+            if end - start >= SHORTEST and models.is_random(text[start:end]):
                 added.append((start, end, "markov"))
     return sorted(base + added, key=lambda x: (x[0], (*KINDS, "markov").index(x[2]))) if added else base
 

@@ -147,6 +147,22 @@ def test_models_tell_keys_from_names():
     assert np.mean([models.score(n) >= models.threshold for n in names]) < 0.02
 
 
+def test_the_ratio_decides_on_all_runs():
+    """Short runs, runs without a digit and what a rule leaves of a run are judged as well."""
+    models, rng = secrets.fit(None), np.random.default_rng(11)
+    letters = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
+    every = [*letters, *"0123456789"]
+
+    def found(alphabet, size, after=""):
+        keys = ["".join(rng.choice(alphabet, size)) for _ in range(300)]
+        return np.mean([(4, 4 + size, "markov") in secrets.all_spans(f"key {k}{after} end", models) for k in keys])
+
+    assert found(letters, 20) > 0.95 and found(every, 16) > 0.95
+    assert found(letters[:26], 22, after="0123456789abcdef" * 2) > 0.95
+    names = [n for n in secrets._composed(98, 2000) if len(n) >= secrets.SHORTEST]
+    assert np.mean([bool(secrets.all_spans(n, models)) for n in names]) < 0.02
+
+
 def test_secrets_of_documents(spark):
     got = {r.doc_id: r for r in catalog.op10_secrets(spark, FOLDER).collect()}
     for i, text in documents(spark):
