@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import variant
+from readings import variant
 from pyspark.sql import functions as F
 
 from roadpulse.functions import casts, traffic
@@ -19,10 +19,10 @@ def test_seed_record(spark):
     assert df.schema.simpleString() == PROCESSED.simpleString()
     row = df.first()
     expected = {
-        "record_id": "434", "speed": 47.84, "travel_time": 66, "status": 0, "hour_of_day": 7, "day_of_week": 3,
+        "record_id": "90217", "speed": 38.6, "travel_time": 112, "status": 0, "hour_of_day": 7, "day_of_week": 3,
         "is_weekend": False, "is_peak_hour": True, "time_bucket": "MORNING_PEAK", "congestion_level": "FREE_FLOW",
-        "congestion_score": 0.2027, "latitude": 40.6020904, "longitude": -74.1877, "quality_flags": [],
-        "data_as_of_parsed": dt.datetime(2024, 2, 13, 7, 9, 9),
+        "congestion_score": 0.3567, "latitude": 40.7105, "longitude": -73.9502, "quality_flags": [],
+        "data_as_of_parsed": dt.datetime(2024, 2, 13, 7, 4, 30),
     }
     assert {k: row[k] for k in expected} == expected
 

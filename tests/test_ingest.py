@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import envelope_rows, variant
+from readings import envelope_rows, variant
 from pyspark.sql import functions as F
 
 from roadpulse.operators import ingest
@@ -28,9 +28,9 @@ CASES = [
     ({"speed": "fast"}, "SPEED_FORMAT"),
     ({"speed": "0"}, None),
     ({"status": "9"}, None),
-    ({"speed": 47.84}, "NOT_A_STRING_SPEED"),
+    ({"speed": 38.6}, "NOT_A_STRING_SPEED"),
     ({"owner": None}, "NOT_A_STRING_OWNER"),
-    ({"travel_time": "66.0"}, "TRAVEL_TIME_NOT_INTEGER"),
+    ({"travel_time": "112.0"}, "TRAVEL_TIME_NOT_INTEGER"),
     ({"travel_time": ...}, None),
     ({"extra": "kept"}, None),
 ] + [({"borough": name}, None) for name in BOROUGHS]
@@ -71,11 +71,11 @@ def test_valid_rows_keep_every_field_and_add_typed_copies(spark, seed):
         "source": "feed",
         "dataset_id": "road_speeds",
         "phase": "raw_ingestion",
-        "speed_float": 47.84,
-        "travel_time_int": 66,
+        "speed_float": 38.6,
+        "travel_time_int": 112,
         "status_int": 0,
     }
-    assert json.loads(rows[1]["value"])["_pipeline"]["speed_float"] == 47.84
+    assert json.loads(rows[1]["value"])["_pipeline"]["speed_float"] == 38.6
     last = json.loads(rows[2]["value"])
     assert "travel_time" not in last and last["_pipeline"]["travel_time_int"] == 0
     assert rows[0]["topic"] == "validated" and rows[0]["offset"] == 0
@@ -86,7 +86,7 @@ def test_an_earlier_enrichment_is_replaced(spark):
     row = ingest.valid_rows(ingest.validate(frame(spark, [old, json.dumps(variant()) + " \n"]))).orderBy("offset").collect()
     for r in row:
         assert r["value"].count("_pipeline") == 1
-        assert json.loads(r["value"])["_pipeline"]["speed_float"] == 47.84
+        assert json.loads(r["value"])["_pipeline"]["speed_float"] == 38.6
 
 
 def test_rejected_rows_keep_the_payload(spark):

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import envelope_rows, variant, write_envelope
+from readings import envelope_rows, variant, write_envelope
 from pyspark.sql import functions as F
 
 from roadpulse.operators.clean import clean

@@ -151,7 +151,7 @@ def test_forest_is_the_same_on_every_layout(table):
 
 def test_jobs_and_live_scoring(spark, table, tmp_path):
     from roadpulse.streaming.windows import start_scoring
-    from conftest import envelope_rows, variant, write_envelope
+    from readings import envelope_rows, variant, write_envelope
 
     paths, model_path = TablePaths(str(tmp_path / "tables")), str(tmp_path / "models")
     sinks.write_processed(table.drop("planted"), paths.processed, 0)

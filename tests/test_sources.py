@@ -2,7 +2,7 @@ import json
 import time
 
 import pytest
-from conftest import variant
+from readings import variant
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -69,7 +69,7 @@ def test_polling_stream(spark, tmp_path):
         time.sleep(0.5)
     query.stop()
     query.awaitTermination(30)
-    raw = spark.read.parquet(paths.topic("raw")).where("batch_id LIKE '%_0'")
+    raw = spark.read.parquet(paths.topic("raw")).where(F.col("batch_id").endswith("_0"))
     assert sorted(json.loads(r["value"])["id"] for r in raw.collect()) == ["0", "1", "2"]
 
 
