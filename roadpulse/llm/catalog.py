@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import collocations, embedding_dedup, fingerprints, huffman, mixing, ngram_join, packing, secrets, substring_dedup, token_counts, toxicity
+from roadpulse.llm import collocations, embedding_dedup, fingerprints, huffman, mixing, ngram_join, packing, secrets, substring_dedup, token_counts, toxicity, vector_codes
 from roadpulse.llm.common import table
 
 
@@ -74,6 +74,10 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(docs))
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, folder, "embeddings"))
+
+
 def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(table(spark, folder, "documents"))
 
@@ -89,6 +93,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
     "op10_secrets": op10_secrets,
+    "op11_vector_codes": op11_vector_codes,
     "op13_collocations": op13_collocations,
 }
 
@@ -135,4 +140,4 @@ def mixing_sql(share: tuple[int, int], max_epochs: int, seed: int) -> str:
 SELECT doc_id, domain, lang, source, n_tokens, CAST(unnest(range(n)) AS INTEGER) AS epoch FROM copies WHERE n > 0"""
 
 
-ORACLES: dict[str, str] = {"op1_mixing": mixing_sql((4, 5), 2, 17), "op13_collocations": collocations.collocations_sql()}
+ORACLES: dict[str, str] = {"op1_mixing": mixing_sql((4, 5), 2, 17), "op11_vector_codes": vector_codes.vector_codes_sql(), "op13_collocations": collocations.collocations_sql()}
