@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import collocations, embedding_dedup, fingerprints, huffman, mixing, ngram_join, packing, secrets, substring_dedup, token_counts, toxicity, vector_codes
+from roadpulse.llm import collocations, embedding_dedup, fingerprints, huffman, mixing, ngram_join, packing, quality, secrets, substring_dedup, token_counts, toxicity, vector_codes
 from roadpulse.llm.common import table
 
 
@@ -78,6 +78,13 @@ def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return vector_codes.vector_codes(table(spark, folder, "embeddings"))
 
 
+def op12_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality.fit(docs, table(spark, folder, "labels")))
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(table(spark, folder, "documents"))
 
@@ -94,6 +101,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_secrets": op10_secrets,
     "op11_vector_codes": op11_vector_codes,
+    "op12_quality": op12_quality,
     "op13_collocations": op13_collocations,
 }
 
