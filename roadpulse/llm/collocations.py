@@ -246,6 +246,11 @@ def frequent_phrases(docs: DataFrame, longest: int, least: int) -> tuple[DataFra
     return phrases, totals
 
 
+def cut_score() -> Column:
+    """1000 a n / (l r) rounded down, of columns with these names."""
+    return F.expr("cast(1000 as decimal(4,0)) * cast(a as decimal(17,0)) * cast(n as decimal(17,0)) div (cast(l as decimal(19,0)) * cast(r as decimal(19,0)))").cast("long")
+
+
 def collocations(docs: DataFrame, longest: int = 5, least: int = 100, keep: int = 2000, percent: int = 100) -> DataFrame:
     """lang, rank, phrase, a, l, r, n and score of each language's best phrases of 2 to ``longest`` words.
 
@@ -266,8 +271,7 @@ def collocations(docs: DataFrame, longest: int = 5, least: int = 100, keep: int
     cut = cut.select("lang", "phrase", "a", "cut", joined(F.lit(1), F.col("cut")).alias("head"), joined(F.col("cut") + 1, F.col("size") - F.col("cut")).alias("tail"))
     heads, tails = (phrases.select("lang", F.col("phrase").alias(p), F.col("f").alias(c)) for p, c in (("head", "l"), ("tail", "r")))
     cut = cut.join(heads, ["lang", "head"]).join(tails, ["lang", "tail"]).join(totals, "lang")
-    quotient = F.expr("cast(1000 as decimal(4,0)) * cast(a as decimal(17,0)) * cast(n as decimal(17,0)) div (cast(l as decimal(18,0)) * cast(r as decimal(18,0)))")
-    scored = cut.withColumn("score", quotient.cast("long")).groupBy("lang", "phrase").agg(F.min(F.struct("score", "cut", "a", "l", "r", "n")).alias("best"))
+    scored = cut.withColumn("score", cut_score()).groupBy("lang", "phrase").agg(F.min(F.struct("score", "cut", "a", "l", "r", "n")).alias("best"))
 
     # shorter phrases inside each longer one, with the longer one's count
     sizes = F.filter(F.sequence(F.lit(2), F.lit(longest)), lambda k: k < F.col("size"))

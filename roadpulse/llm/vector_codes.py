@@ -3,11 +3,12 @@
 A vector becomes whole numbers, is cut into equal consecutive parts, and every part is named by
 the nearest entry of its position's codebook. To find it, a codebook keeps for every dimension
 its entries' sorted coordinates and, for every place in that order, a mask of the entries before
-it. The distance to a first entry (the one nearest in the first dimension) is an initial radius:
-it cuts a slice of the order out of each dimension, whose entries are the difference of two
-prefix masks, and the intersection of all slices is an exact list of candidates, since no entry
-outside it can be as near. Only candidates are measured. Masks are uint64 words, one for each 64
-entries.
+it. A radius around a part cuts a slice of the order out of each dimension, whose entries are the
+difference of two prefix masks, and the intersection of the slices holds every entry within the
+radius. The initial radius is half a usual distance between neighbouring entries; it is doubled
+while the intersection is empty, and set to the distance of the nearest candidate where that is
+larger, so that no entry outside can be as near. Only candidates are measured. Masks are uint64
+words, one for each 64 entries.
 
 All arithmetic is in whole numbers, so results do not depend on how rows are spread. The codebooks
 are ``entries`` numbers per component, sent to the tasks; a round returns one sum per entry and
@@ -49,49 +50,43 @@ class Slices:
         self.sorted = np.ascontiguousarray(np.take_along_axis(entries, order, 0).T)
         bits = np.zeros((size, words), np.uint64)
         bits[np.arange(size), np.arange(size) >> 6] = np.uint64(1) << (np.arange(size, dtype=np.uint64) & np.uint64(63))
+        self.every = np.bitwise_or.reduce(bits, axis=0, keepdims=True)
         self.masks = np.zeros((width, size + 1, words), np.uint64)
         for d in range(width):
             self.masks[d, 1:] = np.bitwise_or.accumulate(bits[order[:, d]], axis=0)
-        self.first_order = order[:, 0] if width else np.zeros(size, np.int64)
+        apart = np.array([np.sort(self._measure(entries, k).astype(float))[min(1, size - 1)] for k in range(size)])
+        self.radius = int(np.sqrt(np.median(apart)) / 2) + 1
 
-    def _measure(self, points: np.ndarray, entry) -> np.ndarray:
+    def _measure(self, points: np.ndarray, entry: int) -> np.ndarray:
         return ((points - self.entries[entry]) ** 2).sum(1)
 
-    def candidates(self, points: np.ndarray) -> np.ndarray:
-        """Masks (points x words) of all entries that can be nearest."""
-        size, width = self.entries.shape
-        if not width:
-            return np.repeat(self._all(), len(points), 0)
-        after = np.searchsorted(self.sorted[0], points[:, 0])
-        before = np.maximum(after - 1, 0)
-        after = np.minimum(after, size - 1)
-        nearer = np.abs(points[:, 0] - self.sorted[0][before]) <= np.abs(points[:, 0] - self.sorted[0][after])
-        guess = self.first_order[np.where(nearer, before, after)]
-        radius = np.sqrt(self._measure(points, guess).astype(float)).astype(np.int64) + 1
-        found = np.repeat(self._all(), len(points), 0)
-        for d in range(width):
+    def candidates(self, points: np.ndarray, radius: np.ndarray) -> np.ndarray:
+        """Masks (points x words) of the entries that are within the radius in every dimension."""
+        found = np.repeat(self.masks[0, -1:] if len(self.masks) else self.every, len(points), 0)
+        for d in range(len(self.sorted)):
             low = np.searchsorted(self.sorted[d], points[:, d] - radius, "left")
             high = np.searchsorted(self.sorted[d], points[:, d] + radius, "right")
             found &= self.masks[d][high] ^ self.masks[d][low]
         return found
 
-    def _all(self) -> np.ndarray:
-        size = len(self.entries)
-        every = np.zeros((1, -(-size // 64)), np.uint64)
-        for k in range(size):
-            every[0, k >> 6] |= np.uint64(1 << (k & 63))
-        return every
-
     def nearest(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Number of the nearest entry (the lowest of equally near ones) and its squared distance."""
-        found = self.candidates(points)
-        best = np.full(len(points), np.iinfo(np.int64).max)
-        index = np.zeros(len(points), np.int64)
-        for k in range(len(self.entries)):
-            at = np.flatnonzero((found[:, k >> 6] >> np.uint64(k & 63)) & np.uint64(1))
-            own = self._measure(points[at], k)
-            less = own < best[at]
-            best[at[less]], index[at[less]] = own[less], k
+        none = np.iinfo(np.int64).max
+        best, index = np.full(len(points), none), np.zeros(len(points), np.int64)
+        radius, left = np.full(len(points), self.radius), np.arange(len(points))
+        while len(left):
+            found = self.candidates(points[left], radius[left])
+            best[left] = none
+            for k in range(len(self.entries)):
+                at = left[((found[:, k >> 6] >> np.uint64(k & 63)) & np.uint64(1)).astype(bool)]
+                own = self._measure(points[at], k)
+                less = own < best[at]
+                best[at[less]], index[at[less]] = own[less], k
+            empty, reach = best[left] == none, np.sqrt(best[left].astype(float)).astype(np.int64) + 1
+            wider = np.where(empty, radius[left] * 2, reach)
+            again = empty | (wider > radius[left] + 1)  # the distance rounded down is within the radius
+            radius[left[again]] = wider[again]
+            left = left[again]
         return index, best
 
 
