@@ -44,11 +44,25 @@ _GROUP_SQL = "chunk long, local binary, ids binary, lang string, id long, word s
 
 
 def _press(values: np.ndarray | bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(values if isinstance(values, bytes) else np.ascontiguousarray(values).tobytes())
+    """Compressed bytes; numbers byte plane by byte plane."""
+    if not isinstance(values, bytes):
+        values = np.ascontiguousarray(values)
+        values = values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(values)
 
 
 def _numbers(data: bytes, kind=np.int64) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _press_rising(values: np.ndarray) -> bytes:
+    """Numbers that never fall, as steps."""
+    return _press(np.diff(values, prepend=values.dtype.type(0)))
+
+
+def _rising(data: bytes, kind=np.int64) -> np.ndarray:
+    return np.cumsum(_numbers(data, kind), dtype=kind)
 
 
 def _rows(schema: pa.Schema, rows: list[dict]) -> pa.RecordBatch:
@@ -56,8 +70,7 @@ def _rows(schema: pa.Schema, rows: list[dict]) -> pa.RecordBatch:
 
 
 def _relation(chunk: int, lang: str, total: int, at: np.ndarray, local: np.ndarray) -> dict:
-    steps = np.diff(at, prepend=0).astype(np.uint32)
-    return {"chunk": chunk, "lang": lang, "total": total, "at": _press(steps), "local": _press(local.astype(np.uint32))}
+    return {"chunk": chunk, "lang": lang, "total": total, "at": _press_rising(at.astype(np.uint32)), "local": _press(local.astype(np.uint32))}
 
 
 def _sent(chunk: int, lang: str, to: np.ndarray, fragments: int, pack) -> list[dict]:
@@ -65,7 +78,7 @@ def _sent(chunk: int, lang: str, to: np.ndarray, fragments: int, pack) -> list[d
     order = np.argsort(to, kind="stable")
     cuts = np.searchsorted(to[order], np.arange(fragments + 1))
     parts = [(f, order[cuts[f] : cuts[f + 1]]) for f in range(fragments)]
-    return [{"fragment": f, "chunk": chunk, "lang": lang, "local": _press(own.astype(np.uint32)), **pack(own)} for f, own in parts if len(own)]
+    return [{"fragment": f, "chunk": chunk, "lang": lang, "local": _press_rising(own.astype(np.uint32)), **pack(own)} for f, own in parts if len(own)]
 
 
 class _Chunk:
@@ -147,7 +160,8 @@ def _group_words(rows: list[dict], least: int) -> tuple[list[dict], np.ndarray,
 
 
 def _group_pairs(rows: list[dict], least: int) -> tuple[list[dict], np.ndarray, np.ndarray]:
-    first, last, n = (np.concatenate([_numbers(r[c]) for r in rows]) for c in ("first", "last", "counts"))
+    first = np.concatenate([_rising(r["first"]) for r in rows])
+    last, n = (np.concatenate([_numbers(r[c]) for r in rows]) for c in ("last", "counts"))
     order = np.lexsort((last, first))
     new = np.ones(len(order), bool)
     new[1:] = (np.diff(first[order]) != 0) | (np.diff(last[order]) != 0)
@@ -178,11 +192,11 @@ def group_count(step: DataFrame, least: int, words: bool) -> DataFrame:
             first_id += len(found)
             edge = 0
             for r in rows:
-                local = _numbers(r["local"], np.uint32)
+                local = _rising(r["local"], np.uint32)
                 own = ids[group[edge : edge + len(local)]]
                 edge += len(local)
                 if (own >= 0).any():
-                    out.append({"chunk": r["chunk"], "local": _press(local[own >= 0]), "ids": _press(own[own >= 0])})
+                    out.append({"chunk": r["chunk"], "local": _press_rising(local[own >= 0]), "ids": _press(own[own >= 0])})
         return pa.Table.from_pylist(out, schema=_GROUP)
 
     return step.where("fragment is not null").select("fragment", "chunk", "lang", "local", "first", "last", "counts").groupBy("fragment").applyInArrow(run, _GROUP_SQL)
@@ -195,11 +209,11 @@ def extend(relation: DataFrame, kept: DataFrame, fragments: int) -> DataFrame:
         if not own.num_rows or not frequent.num_rows:
             return _STEP.empty_table()
         row = own.to_pylist()[0]
-        at = np.cumsum(_numbers(row["at"], np.uint32).astype(np.int64))
+        at = _rising(row["at"], np.uint32).astype(np.int64)
         local = _numbers(row["local"], np.uint32).astype(np.int64)
         ids = np.full(int(local.max(initial=-1)) + 1, -1, np.int64)
         for r in frequent.to_pylist():
-            ids[_numbers(r["local"], np.uint32)] = _numbers(r["ids"])
+            ids[_rising(r["local"], np.uint32)] = _numbers(r["ids"])
         names = ids[local]
         at, names = at[names >= 0], names[names >= 0]
         known, place = np.unique(names, return_inverse=True)
@@ -211,7 +225,7 @@ def extend(relation: DataFrame, kept: DataFrame, fragments: int) -> DataFrame:
         to = mixed(first.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + last.astype(np.uint64))
         to = (((to >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)).astype(np.int64)
         rows = [_relation(row["chunk"], row["lang"], 0, at[next_to], number)]
-        rows += _sent(row["chunk"], row["lang"], to, fragments, lambda x: {"first": _press(first[x]), "last": _press(last[x]), "counts": _press(counts[x].astype(np.int64))})
+        rows += _sent(row["chunk"], row["lang"], to, fragments, lambda x: {"first": _press_rising(first[x]), "last": _press(last[x]), "counts": _press(counts[x].astype(np.int64))})
         return pa.Table.from_pylist(rows, schema=_STEP)
 
     left = relation.select("chunk", "lang", "at", "local").groupBy("chunk")
