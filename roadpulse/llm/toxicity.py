@@ -45,9 +45,16 @@ def ftrl(rows: list[tuple[np.ndarray, int]], epochs: int = 6, alpha: float = 3.0
 
     A slot that fewer than ``min_rows`` of these rows have gets no weight.
     """
-    often = np.bincount(np.concatenate([np.empty(0, np.uint32), *(at for at, _ in rows)]), minlength=1 << BITS) >= min_rows
-    rows = [(at[often[at]], label) for at, label in rows]
-    z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
+    seen = np.zeros(1 << BITS, np.uint32)
+    for at, _ in rows:
+        seen[at] += 1  # slots of a row are distinct
+    slots = np.flatnonzero(seen >= min_rows).astype(np.uint32)
+    del seen
+    dense = np.full(1 << BITS, -1, np.int32)
+    dense[slots] = np.arange(len(slots), dtype=np.int32)
+    rows = [(own[own >= 0], label) for own, label in ((dense[at], label) for at, label in rows)]
+    del dense
+    z, n = np.zeros(len(slots) + 1), np.zeros(len(slots) + 1)
 
     def weights(at):
         part = z[at]
@@ -67,9 +74,9 @@ def ftrl(rows: list[tuple[np.ndarray, int]], epochs: int = 6, alpha: float = 3.0
             n[at] = old + g * g
             z[-1] += g - (np.sqrt(n[-1] + g * g) - np.sqrt(n[-1])) / alpha * b
             n[-1] += g * g
-    every = weights(np.arange(1 << BITS))
-    slots = np.flatnonzero(every)
-    return Weights(slots.astype(np.uint32), every[slots], float(bias()))
+    every = weights(np.arange(len(slots)))
+    used = np.flatnonzero(every)
+    return Weights(slots[used], every[used], float(bias()))
 
 
 def train_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> list[tuple[np.ndarray, int]]:
@@ -88,10 +95,8 @@ def train_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) ->
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "slots": [slots_of(t, hashes).tobytes() for t in pdf["text"]], "toxic": pdf["toxic"]})
 
-    got = chosen.mapInPandas(read, "doc_id long, slots binary, toxic int").toPandas()
-    got["order"] = [hash_order(i) for i in got["doc_id"]]
-    got = got.sort_values(["order", "doc_id"])
-    return [(np.frombuffer(s, np.uint32), int(t > 0)) for s, t in zip(got["slots"], got["toxic"])]
+    got = sorted((hash_order(r.doc_id), r.doc_id, bytes(r.slots), r.toxic) for r in chosen.mapInPandas(read, "doc_id long, slots binary, toxic int").toLocalIterator())
+    return [(np.frombuffer(s, np.uint32), int(t > 0)) for *_, s, t in got]
 
 
 def hash_order(doc_id: int) -> int:
