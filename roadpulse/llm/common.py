@@ -42,6 +42,27 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column of ``docs`` has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def set_aside(docs: DataFrame, *needed: str):
+    """``docs`` with all but the needed columns in one, and a function that restores the columns.
+
+    Operators that join or add columns of their own then cannot meet the caller's.
+    """
+    others = [c for c in docs.columns if c not in needed]
+    if not others:
+        return docs, lambda frame: frame.select(*docs.columns)
+    name = free_name(docs, "columns_set_aside")
+    packed = docs.select(*needed, F.struct(*[docs[f"`{c}`"].alias(c) for c in others]).alias(name))
+    return packed, lambda frame: frame.select(*[F.col(c) if c in needed else F.col(name).getField(c).alias(c) for c in docs.columns])
+
+
 def shuffle_tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -19,8 +19,8 @@ Whole-number arithmetic throughout, so results do not depend on the order of sum
 Defined results: a token is a word; null and empty texts have no tokens and are never chosen;
 null levels form a node named ``(none)``; a child without a listed weight gets the default;
 weight 0 gives nothing; rows with equal doc_id and size are interchangeable; an empty table
-gives an empty result; columns named as the helper columns are kept (helpers start with
-``mix_``).
+gives an empty result; columns of the documents that start with ``mix_``, as the helpers and
+results do, come back with ``own_`` before their names.
 """
 
 from collections.abc import Mapping
@@ -118,11 +118,17 @@ def mix(
     row. ``columns`` are the columns of ``docs`` to return, all by default; with a few short
     ones the documents are read only once.
     """
+    own = {c: f"own_{c}" for c in docs.columns if c.lower().startswith("mix_")}
+    kept = [F.col(f"`{own.get(c, c)}`") for c in (docs.columns if columns is None else columns)]
+    few = ["doc_id", *(F.col(f"`{own.get(c, c)}`") for c in columns or [] if c != "doc_id")]
+    if own:
+        # the levels are taken first: their expressions may name such columns
+        at = {n: f"own_level_{k}" for k, n in enumerate(levels)}
+        docs = docs.withColumns({at[n]: F.expr(e) for n, e in levels.items()}).withColumnsRenamed(own)
+        levels = at
     names = [f"mix_{n}" for n in levels]
     named = {f"mix_{n}": w for n, w in weights.items()}
     marked = docs.withColumns({f"mix_{n}": name_of(e) for n, e in levels.items()} | {"mix_tokens": words_in("text")}).where("mix_tokens > 0")
-    kept = docs.columns if columns is None else columns
-    few = ["doc_id", *(c for c in columns or [] if c != "doc_id")]
     sizes = materialize(marked.select(*few, *names, "mix_tokens"))
     leaves = materialize(sizes.groupBy(*names).agg(F.sum("mix_tokens").alias("mix_supply")))
     budget = F.expr(f"total * {share[0]} DIV {share[1]}")

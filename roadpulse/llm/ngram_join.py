@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import POSTINGS, WordHashes, components, expand, fragment_groups, fragments_for, gathered, materialize, mixed, scattered, small_batches, squeeze, text_key, window_hashes
+from roadpulse.llm.common import POSTINGS, WordHashes, components, expand, fragment_groups, fragments_for, gathered, materialize, mixed, scattered, set_aside, small_batches, squeeze, text_key, window_hashes
 
 FRAGMENT_BYTES = 32_000_000
 ROUNDS = 4
@@ -291,6 +291,7 @@ def drop_duplicates(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame
     the smallest hash of its text. Rows without words are linked with nothing and all stay.
     """
     small_batches(docs.sparkSession)
+    docs, restored = set_aside(docs, "doc_id", "text")
     worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     own = docs.where(worded).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = materialize(members(own, n, with_text_key=True))
@@ -310,4 +311,4 @@ def drop_duplicates(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame
     if again.limit(1).count():
         out = out.unionByName(keyed.join(again, same).dropDuplicates(["kept_id", "kept_key"]).select(*docs.columns))
         kept = kept.join(repeated, own_row, "left_anti")
-    return out.unionByName(keyed.join(kept, same).select(*docs.columns))
+    return restored(out.unionByName(keyed.join(kept, same).select(*docs.columns)))

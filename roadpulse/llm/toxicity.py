@@ -7,7 +7,8 @@ pairs, whatever the corpus.
 
 Defined results: null and empty texts get the score of the bias alone; long texts are read
 whole; equal texts get equal scores; without labels every score is 0.5 and every prediction 1;
-rows without doc_id are scored; further columns are ignored.
+rows without doc_id are scored; further columns are
+kept, but for one named as the score, which is replaced.
 """
 
 import re

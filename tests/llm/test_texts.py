@@ -290,6 +290,47 @@ def test_no_usable_label_keeps_all_documents(spark, texts, tmp_path, case):
     assert kept.columns == docs.columns and Counter(kept.collect()) == Counter(docs.collect())
 
 
+CLASHES = "toxic_score double, near_key string, kept_id long, kept_key string, row_id int, mix_hash string, mix_tokens string, mix_whole int, columns_set_aside int, `a.b` int"
+
+
+def test_clashing_columns_are_kept(spark):
+    """Every stage keeps further columns as they are, whatever their names."""
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").orderBy("doc_id").limit(60)
+    value = F.col("doc_id").cast("string")
+    added = {c.split()[0].strip("`"): c.split()[1] for c in CLASHES.split(", ")}
+    docs = docs.select("*", *[(F.crc32(F.concat(value, F.lit(n))) % 1000).cast(t).alias(n) for n, t in added.items()])
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    own = {r.doc_id: tuple(r[n] for n in added) for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, FOLDER)
+        rows = out.collect()
+        assert out.columns == docs.columns and rows, name
+        assert all(own[r.doc_id] == tuple(r[n] for n in added) for r in rows), name
+    assert "own_mix_tokens" in mixing.mix(docs, {"side": "mix_tokens"}, {}).columns
+
+
+def odd_documents(spark, folder, rows):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([(i, t, "en", "src1", len(t or "")) for i, t in rows], schema).write.parquet(f"{folder}/documents.parquet")
+    spark.read.parquet(f"{FOLDER}/labels.parquet").write.parquet(f"{folder}/labels.parquet")
+
+
+def test_pipeline_over_odd_rows(spark, tmp_path):
+    rows = [(i, f"some plain words of document number {i} that nobody else has {i * 7}") for i in range(1, 9)]
+    rows += [(1, None), (2, ""), (None, " "), (3, rows[2][1]), (None, rows[3][1]), (50, "long word " * 30_000), (51, "\n")]
+    odd_documents(spark, str(tmp_path), rows)
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert out and {r.doc_id for r in out} <= {i for i, _ in rows}
+    assert sum(r.length for r in out if r.doc_id == 50) in (0, *{r.doc_tokens for r in out if r.doc_id == 50})
+
+
+def test_pipeline_over_no_rows(spark, tmp_path):
+    odd_documents(spark, str(tmp_path), [])
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
 def test_run(spark):
     out = corpus_pipeline.run(spark, FOLDER)
     assert {"doc_id", "ids", "sequence_id"} <= set(out.columns) and out.count() > 0
