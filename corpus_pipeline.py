@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.llm import mixing, ngram_join, packing, secrets, toxicity
 from roadpulse.llm.catalog import LEVELS, WEIGHTS
+from roadpulse.llm.common import free_name, set_aside
 from roadpulse.session import checkpoint_dir
 
 #: Share of the tokens left that the mixture takes; each document is used once at most.
@@ -25,7 +26,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     weights = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     if not toxicity.fitted(weights):
         return docs
-    return toxicity.score(docs, weights, "toxic_score").where("toxic_score < 0.5").select(*docs.columns)
+    name = free_name(docs, "toxic_score")
+    return toxicity.score(docs, weights, name).where(F.col(name) < 0.5).drop(name)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,12 +37,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark; documents stay."""
-    return secrets.redact(docs).withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long")).select(*docs.columns)
+    return secrets.redact(docs).withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the target weights take, each once."""
-    return mixing.mix(docs, LEVELS, WEIGHTS, share=MIX_SHARE, max_epochs=1, seed=17).select(*docs.columns)
+    own, restored = set_aside(docs, "doc_id", "text", "lang", "source")
+    return restored(mixing.mix(own, LEVELS, WEIGHTS, share=MIX_SHARE, max_epochs=1, seed=17))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
