@@ -19,7 +19,7 @@ from roadpulse.streaming.processing import TablePaths
 WHOLE_TABLE = "365 days"
 
 
-def _place(t) -> str:
+def place(t) -> str:
     """A new folder next to the checkpoints of the session, which every executor can reach."""
     return f"{checkpoint_dir(t.spark).rstrip('/')}/run-{uuid.uuid4().hex}"
 
@@ -31,7 +31,7 @@ def _messages(t):
 
 
 def _drain(start, t, *args, **options):
-    root = _place(t)
+    root = place(t)
     paths = TablePaths(f"{root}/tables")
     stream = start(*args, paths=paths, checkpoint=f"{root}/checkpoint", once=True, **options)
     stream.awaitTermination()

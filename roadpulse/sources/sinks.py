@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.operators.lineage import newest_entries
-from roadpulse.session import materialize
+from roadpulse.sources import parts
 
 ANOMALY_COLUMNS = ["link_name", "borough", "speed", "congestion_level", "anomaly_score", "processed_at"]
 LINEAGE_COLUMNS = [
@@ -37,9 +37,20 @@ def write_batch(df: DataFrame, path: str, batch_id: int | str, partitions: tuple
     )
 
 
+#: Order of rows in a processed file, and the column with Bloom filters in packed files: a scan of
+#: a borough and time, or of one link, then reads few row groups.
+CLUSTER, LOOKUPS = ("borough", "data_as_of_parsed"), ("link_id",)
+
+
 def write_processed(df: DataFrame, path: str, batch_id: int | str) -> None:
     """Processed rows under their batch and day; the day lets a lookback skip whole folders."""
-    write_batch(df.withColumn("processed_date", F.to_date("processed_at")), path, batch_id, ("processed_date",))
+    rows = df.withColumn("processed_date", F.to_date("processed_at")).withColumn("batch_id", F.lit(str(batch_id)))
+    parts.append(rows, path, "processed_date", str(batch_id), cluster=tuple(c for c in CLUSTER if c in df.columns))
+
+
+def compact_processed(spark: SparkSession, path: str, target: int = parts.TARGET_BYTES, **options) -> int:
+    """Packs the small files of micro-batches into clustered files of the target size."""
+    return parts.compact(spark, path, target, CLUSTER, lookups=LOOKUPS, **options)
 
 
 def merge_rows(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -51,28 +62,13 @@ def merge_rows(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def upsert(new: DataFrame, path: str, keys: list[str], day_of: str) -> None:
-    """Keyed upsert into a Parquet table partitioned by the day of ``day_of``.
+    """Keyed upsert into a table by the day of ``day_of``, which is one of the keys or never changes for a key.
 
-    Only the days present in ``new`` are read and rewritten. The merged rows are written
-    to reliable storage before any file is replaced, so no file is read and overwritten in
-    one job; running the same upsert again gives the same table.
+    Only the new rows are written; readers take the newest row of a key. Running the same upsert
+    again gives the same table.
     """
-    spark = new.sparkSession
     rows = new.withColumn("window_date", F.to_date(day_of))
-    if table_exists(spark, path):
-        rows = materialize(rows)
-        first, last = rows.agg(F.min("window_date"), F.max("window_date")).first()
-        old = spark.read.schema(rows.schema).parquet(path).where(F.col("window_date").between(first, last))
-        old = old.join(rows.select("window_date").distinct(), "window_date", "left_semi")
-        rows = materialize(merge_rows(old, rows, keys).select(*rows.columns))
-    (
-        rows.hint("rebalance", "window_date")
-        .sortWithinPartitions("window_date", *keys)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("window_date")
-        .parquet(path)
-    )
+    parts.upsert(rows, path, keys, "window_date", cluster=tuple(keys))
 
 
 def append_lineage(entry: DataFrame, path: str, batch_id: int | str) -> bool:

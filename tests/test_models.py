@@ -9,7 +9,7 @@ from roadpulse.functions.casts import round_dec
 from roadpulse.ml import evaluate, features, isoforest, score, train
 from roadpulse.plans import training_job
 from roadpulse.schema import BOROUGHS
-from roadpulse.sources import envelope, sinks
+from roadpulse.sources import envelope, sinks, tables
 from roadpulse.streaming.processing import TablePaths
 
 AS_OF = dt.datetime(2024, 3, 1)
@@ -165,7 +165,7 @@ def test_jobs_and_live_scoring(spark, table, tmp_path):
     stream = envelope.stream_files(spark, folder)
     query = start_scoring(stream, models, paths, str(tmp_path / "cp"), once=True)
     assert query.awaitTermination(120)
-    rows = spark.read.parquet(paths.predictions).collect()
+    rows = tables.read_parts(spark, paths.predictions).collect()
     assert len(rows) == 5 and all(r["is_anomaly"] is not None and r["predicted_speed"] >= 0 for r in rows)
 
 
