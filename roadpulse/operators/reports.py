@@ -25,6 +25,39 @@ def baseline_stats(df: DataFrame, as_of=None, days: int = 7) -> DataFrame:
     )
 
 
+def baseline_parts(df: DataFrame) -> DataFrame:
+    """Sums per hour of processing that any longer baseline can be put together from."""
+    return df.where(F.col("processed_at").isNotNull()).groupBy(F.date_trunc("hour", "processed_at").alias("window_start")).agg(
+        F.count("*").alias("n"),
+        F.count("speed").alias("n_speed"),
+        F.sum("speed").alias("sum_speed"),
+        F.count_if(F.col("congestion_level") == "SEVERE").alias("n_severe"),
+        F.count_if(F.col("congestion_level") == "FREE_FLOW").alias("n_free_flow"),
+    )
+
+
+def baseline_from_parts(parts: DataFrame, as_of=None, days: int = 7, edge: DataFrame | None = None) -> DataFrame:
+    """``baseline_stats`` out of stored sums, without its readings.
+
+    The baseline begins inside an hour unless ``as_of`` is a whole one. ``edge`` (readings) is
+    scanned for the rest of that first hour only; without it the baseline begins with the next
+    whole hour.
+    """
+    start = hours_before(as_of, 24 * days)
+    first = F.date_trunc("hour", start + F.expr("INTERVAL 1 HOUR") - F.expr("INTERVAL 1 MICROSECOND"))
+    rows = parts.where(F.col("window_start") >= first).select("n", "n_speed", "sum_speed", "n_severe", "n_free_flow")
+    if edge is not None:
+        inside = edge.where((F.col("processed_at") >= start) & (F.col("processed_at") < first))
+        rows = rows.unionByName(baseline_parts(inside).select(*rows.columns))
+    total = F.coalesce(F.sum("n"), F.lit(0))
+    return rows.agg(
+        F.coalesce(round_dec(F.try_divide(F.sum("sum_speed"), F.sum("n_speed")), 1), F.lit(0.0)).alias("avg_speed"),
+        percent(F.coalesce(F.sum("n_severe"), F.lit(0)), total, 2).alias("severe_pct"),
+        percent(F.coalesce(F.sum("n_free_flow"), F.lit(0)), total, 2).alias("free_flow_pct"),
+        total.alias("total_records"),
+    )
+
+
 def executive_summary(df: DataFrame, as_of=None, hours: float = 1, days: int = 7) -> DataFrame:
     """Current window against the baseline, out of one pass over the longer of the two.
 
@@ -308,7 +341,7 @@ def latest_per_link(df: DataFrame) -> DataFrame:
 
 def seeded_sample(df: DataFrame, n: int = 1500, seed: int = 42, key: str = "link_id") -> DataFrame:
     """The same ``n`` rows on every run and layout: lowest hash of key and seed."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    return df.orderBy(F.md5(F.concat_ws(":", F.col(key), F.lit(seed))), key).limit(n)
 
 
 def map_sample(df: DataFrame, n: int = 1500, seed: int = 42) -> DataFrame:

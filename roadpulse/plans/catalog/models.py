@@ -101,13 +101,13 @@ def m3(t):
     return rows.select("label", "n_class", *_r("weight"))
 
 
-_ORDERED = f"""(SELECT record_id, row_number() OVER (ORDER BY processed_at, record_id) - 1 AS rn, count(*) OVER () AS n FROM {_TRAINING})"""
+ORDERED = f"""(SELECT record_id, row_number() OVER (ORDER BY processed_at, record_id) - 1 AS rn, count(*) OVER () AS n FROM {_TRAINING})"""
 
 
 @query(
     "w4_temporal_split",
     f"""SELECT record_id, CASE WHEN rn < floor(n * 0.70::DOUBLE) THEN 0
-        WHEN rn < floor(n * 0.70::DOUBLE) + floor(n * 0.15::DOUBLE) THEN 1 ELSE 2 END AS split FROM {_ORDERED}""",
+        WHEN rn < floor(n * 0.70::DOUBLE) + floor(n * 0.15::DOUBLE) THEN 1 ELSE 2 END AS split FROM {ORDERED}""",
 )
 def w4(t):
     return features.with_split(features.training_rows(t.traffic)).select("record_id", "split")
@@ -115,7 +115,7 @@ def w4(t):
 
 @query(
     "w5_expanding_folds",
-    f"""SELECT record_id, cast(greatest(0, 5 - floor((n - 1 - rn) / (n // 6)::DOUBLE)) AS INTEGER) AS fold FROM {_ORDERED}""",
+    f"""SELECT record_id, cast(greatest(0, 5 - floor((n - 1 - rn) / (n // 6)::DOUBLE)) AS INTEGER) AS fold FROM {ORDERED}""",
 )
 def w5(t):
     return features.with_folds(features.training_rows(t.traffic)).select("record_id", "fold")

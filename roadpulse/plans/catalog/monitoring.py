@@ -126,7 +126,17 @@ def t10(t):
     return serving.congestion_trends(t.traffic, AS_OF, 72)
 
 
-@query("t11_seeded_sample")
+_MAP = "FROM traffic_fx WHERE latitude BETWEEN 40.4 AND 40.9 AND longitude BETWEEN -74.3 AND -73.7 AND speed IS NOT NULL"
+
+
+@query(
+    "t11_seeded_sample",
+    f"""WITH points AS (SELECT record_id, link_id, latitude, longitude, speed, processed_at {_MAP}),
+        newest AS (SELECT * FROM points QUALIFY row_number() OVER (PARTITION BY link_id ORDER BY processed_at DESC, record_id DESC) = 1),
+        sample AS (SELECT * FROM newest ORDER BY md5(concat_ws(':', link_id, '42')), link_id NULLS FIRST LIMIT 1500)
+        SELECT record_id, link_id, latitude, longitude, speed FROM points WHERE (SELECT count(*) FROM points) <= 1500
+        UNION ALL SELECT record_id, link_id, latitude, longitude, speed FROM sample WHERE (SELECT count(*) FROM points) > 1500""",
+)
 def t11(t):
     return reports.map_sample(t.traffic).select("record_id", "link_id", "latitude", "longitude", "speed")
 

@@ -1,6 +1,6 @@
 """A paged remote table as a Spark data source, for batch reads and for polling.
 
-``spark.dataSource.register(RoadFeed)`` makes it available as format ``road_feed``.
+``register(spark)`` makes it available as format ``road_feed``.
 Options: ``url`` of the remote table or ``pages`` (a folder of page files, shared by all
 executors), ``limit``, ``pageSize``, ``readers``, ``order`` and ``borough``. Pages are read by
 the executors: with a ``limit`` one task per page, else ``readers`` tasks that take turns and
@@ -150,3 +150,9 @@ class RoadFeed(DataSource):
 
     def streamReader(self, schema) -> DataSourceStreamReader:
         return FeedPoller(self.options)
+
+
+def register(spark) -> None:
+    """Makes the source known, and lets Spark hand filters to it."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(RoadFeed)
