@@ -7,10 +7,17 @@ there, and the counts are summed per pair. Documents with equal sets are one nod
 A member of a group is not counted with every other one. Per round, a member of an n-gram's
 group is counted only with a few centres of other components (the smallest members under a
 seeded order), so the work is linear in the postings. A sum is a lower bound of the overlap: where
-it reaches the threshold the link is certain. After each round, a document stays only if enough
-of its n-grams are shared with other components to allow any further link, and n-grams whose
-members are all of one component drop out. What is left when no round finds a link is counted
-pair by pair, so no link between components is lost. Links within a component are not listed.
+it reaches the threshold the link is certain, and its components are contracted. After each round,
+a document stays only if enough of its n-grams are shared with other components to allow any
+further link, and n-grams whose members are all of one component drop out.
+
+What is then left open is counted by prefixes. The n-grams that a set shares with other components
+are ordered from rare to common; two sets that link must share one among the first few of each
+(those without which the rest cannot reach the threshold) and be of like size. Fragments count
+these for each pair, counts are summed per pair, and the pairs found are checked over the sets'
+whole shared n-grams, the likeliest of every document first: once two components are one, pairs
+between them need no check. So no link between components is lost. Links within a component are
+not listed.
 
 Hashes have 64 bits; sets are told apart by 128 bits.
 
@@ -37,7 +44,8 @@ CENTRES = 8
 
 _BASE = 0x9E3779B97F4A7C15
 _PAIRS = "a binary, b binary, shared long"
-_BLOCK_NODES, _BLOCK_GROUPS = 1_024, 2_048
+#: Rounds in which only the likeliest pairs of every set are checked, and how many; the next round checks all that are left.
+BEST_ROUNDS, BEST = 3, 4
 
 
 def shingles(text: str | None, n: int, hashes: WordHashes) -> np.ndarray:
@@ -52,38 +60,40 @@ def _key(hashes: np.ndarray) -> bytes:
     return hashlib.md5(hashes.tobytes()).digest()
 
 
-def members(docs: DataFrame, n: int, with_text_key: bool = False) -> DataFrame:
-    """doc_id, the key of its set (null for an empty set) and the size of the set."""
-
-    def run(batches):
-        hashes = WordHashes()
-        for pdf in batches:
-            sets = [shingles(t, n, hashes) for t in pdf["text"]]
-            out = pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "key": [_key(s) if len(s) else None for s in sets], "n": [len(s) for s in sets]})
-            if with_text_key:
-                out["text_key"] = [hashlib.md5(t.encode("utf-8", "surrogatepass")).digest() for t in pdf["text"]]
-            yield out
-
-    return docs.mapInPandas(run, "doc_id long, key binary, n long" + (", text_key binary" if with_text_key else ""))
+_GROUPS = "fragment int, keys binary, sizes binary, members binary"
 
 
 def shared_groups(docs: DataFrame, n: int, fragments: int) -> DataFrame:
-    """Per fragment: the n-grams that several sets have, as group sizes and member numbers."""
+    """Per fragment: the n-grams that several sets have, as group sizes and member numbers.
+
+    Rows without a fragment tell the sets of texts: ``keys`` holds the keys of texts and sets in
+    turn, ``sizes`` the numbers of n-grams.
+    """
 
     def postings(batches):
         hashes, seen = WordHashes(), set()
         for pdf in batches:
-            sets = [shingles(t, n, hashes) for t in pdf["text"]]
-            fresh = {k: s for s in sets if len(s) and (k := _key(s)) not in seen}
+            names = [hashlib.md5((t or "").encode("utf-8", "surrogatepass")).digest() for t in pdf["text"]]
+            sets = {name: shingles(t, n, hashes) for name, t in zip(names, pdf["text"]) if name not in seen}
+            keyed = {name: (_key(s), s) for name, s in sets.items() if len(s)}
+            fresh = {k: s for k, s in keyed.values() if k not in seen}
             if len(seen) > 200_000:
                 seen.clear()
+            seen.update(sets)
             seen.update(fresh)
             rows = list(scattered(list(fresh.items()), fragments))
+            if keyed:
+                told = {"fragment": -1 - int.from_bytes(names[0][:4]) % fragments, "keys": b"".join([name + k for name, (k, _) in keyed.items()])}
+                rows.append({**told, "counts": squeeze(np.array([len(s) for _, s in keyed.values()])), "hashes": b"", "places": b"", "checks": b""})
             if rows:
                 yield pd.DataFrame(rows)
 
     def group(batches):
         for fragment, rows in fragment_groups(batches):
+            if fragment < 0:
+                for r in rows:
+                    yield pd.DataFrame({"fragment": pd.array([None], "Int32"), "keys": [r.keys], "sizes": [r.counts], "members": [b""]})
+                continue
             keys, hashes, owner, _, _ = gathered(rows)
             order = np.argsort(hashes, kind="stable")
             hashes, owner = hashes[order], owner[order]
@@ -100,10 +110,23 @@ def shared_groups(docs: DataFrame, n: int, fragments: int) -> DataFrame:
         .mapInPandas(postings, POSTINGS)
         .repartition(fragments, "fragment")
         .sortWithinPartitions("fragment")
-        .mapInPandas(group, "fragment int, keys binary, sizes binary, members binary")
+        .mapInPandas(group, _GROUPS)
     )
 
 
+def set_of_text(groups: DataFrame) -> DataFrame:
+    """text_key, the key of its set and the set's size, for every distinct text with words."""
+
+    def told(batches):
+        for pdf in batches:
+            for r in pdf.itertuples(index=False):
+                both = _split_keys(r.keys)
+                yield pd.DataFrame({"text_key": both[::2], "key": both[1::2], "n": expand(r.sizes).astype(np.int64)})
+
+    found = groups.where("fragment is null").select("keys", "sizes").mapInPandas(told, "text_key binary, key binary, n long")
+    return found.groupBy("text_key").agg(F.max(F.struct("key", "n")).alias("own")).select("text_key", "own.*")
+
+
 def _split_keys(keys: bytes) -> list[bytes]:
     return [keys[i : i + 16] for i in range(0, len(keys), 16)]
 
@@ -167,48 +190,25 @@ def _star_counts(row, nodes, seed: int) -> pd.DataFrame:
     )
 
 
-def _pair_counts(row, nodes) -> pd.DataFrame:
-    """Shared n-grams of all pairs of different components.
+def _with_nodes(groups: DataFrame, nodes: DataFrame, run, schema: str) -> DataFrame:
+    """``run(row, labels of open sets by key)`` for every fragment."""
 
-    Nodes are taken in blocks; the counts of two blocks are a matrix product over the n-grams,
-    taken in slices, so memory is bounded by the block and by the pairs that share something.
-    """
-    keys, label, at, starts, sizes = _open_groups(row, nodes)
-    nothing = pd.DataFrame({"a": [], "b": [], "shared": []})
-    if not len(starts):
-        return nothing
-    group = np.repeat(np.arange(len(sizes)), sizes)
-    present, local = np.unique(at, return_inverse=True)
-    order = np.argsort(local, kind="stable")
-    local, group = local[order], group[order]
-    edges = np.searchsorted(local, np.arange(0, len(present) + _BLOCK_NODES, _BLOCK_NODES))
-
-    def dense(block: int, first: int, width: int) -> np.ndarray:
-        own = slice(edges[block], edges[block + 1])
-        near = (group[own] >= first) & (group[own] < first + width)
-        out = np.zeros((_BLOCK_NODES, width), np.float32)
-        out[local[own][near] - block * _BLOCK_NODES, group[own][near] - first] = 1
-        return out
-
-    blocks, out_a, out_b, out_n = len(edges) - 1, [], [], []
-    for i in range(blocks):
-        for j in range(i, blocks):
-            counts = np.zeros((_BLOCK_NODES, _BLOCK_NODES), np.float32)
-            for first in range(0, len(sizes), _BLOCK_GROUPS):
-                counts += dense(i, first, _BLOCK_GROUPS) @ dense(j, first, _BLOCK_GROUPS).T
-            x, y = np.nonzero(np.triu(counts, 1) if i == j else counts)
-            a, b = present[x + i * _BLOCK_NODES], present[y + j * _BLOCK_NODES]
-            apart = label[a] != label[b]
-            out_a.append(a[apart])
-            out_b.append(b[apart])
-            out_n.append(counts[x, y][apart].astype(np.int64))
-    a, b, n = np.concatenate(out_a), np.concatenate(out_b), np.concatenate(out_n)
-    table = np.array(keys, dtype=object)
-    return pd.DataFrame({"a": table[a], "b": table[b], "shared": n}) if len(a) else nothing
+    def present(batches):
+        for pdf in batches:
+            for row in pdf.itertuples(index=False):
+                yield pd.DataFrame({"fragment": row.fragment, "key": _split_keys(row.keys)})
+
+    where = groups.select("fragment", "keys").mapInPandas(present, "fragment int, key binary").join(nodes.select("key", "label"), "key")
+
+    def together(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        known = dict(zip(right["key"], right["label"]))
+        return pd.concat([run(row, known) for row in left.itertuples(index=False)])
 
+    return groups.groupBy("fragment").cogroup(where.groupBy("fragment")).applyInPandas(together, schema)
 
-def _count(groups: DataFrame, nodes: DataFrame | None, seed: int | None) -> DataFrame:
-    """Sums over all fragments of one round's partial counts; ``seed`` None counts all pairs."""
+
+def _count(groups: DataFrame, nodes: DataFrame | None, seed: int) -> DataFrame:
+    """Sums over all fragments of one round's partial counts."""
     if nodes is None:
 
         def alone(batches):
@@ -218,29 +218,147 @@ def _count(groups: DataFrame, nodes: DataFrame | None, seed: int | None) -> Data
 
         partial = groups.mapInPandas(alone, _PAIRS)
     else:
+        partial = _with_nodes(groups, nodes, lambda row, known: _star_counts(row, known, seed), _PAIRS)
+    return partial.groupBy("a", "b").agg(F.sum("shared").alias("shared"))
 
-        def present(batches):
-            for pdf in batches:
-                for row in pdf.itertuples(index=False):
-                    yield pd.DataFrame({"fragment": row.fragment, "key": _split_keys(row.keys)})
 
-        where = groups.select("fragment", "keys").mapInPandas(present, "fragment int, key binary").join(nodes.select("key", "label"), "key")
+def open_sets(groups: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The open sets of ``nodes`` (key, label, n): their n-grams that other components have, and which are the prefix.
 
-        def together(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            known = dict(zip(right["key"], right["label"]))
-            out = []
-            for row in left.itertuples(index=False):
-                out.append(_star_counts(row, known, seed) if seed is not None else _pair_counts(row, known))
-            return pd.concat(out) if out else pd.DataFrame({"a": [], "b": [], "shared": []})
+    ``elements`` names them in ascending order; ``prefix`` holds those of the prefix, the rarest.
+    """
 
-        partial = groups.groupBy("fragment").cogroup(where.groupBy("fragment")).applyInPandas(together, _PAIRS)
+    def own(row, known):
+        keys, _, at, _, sizes = _open_groups(row, known)
+        element = (np.int64(row.fragment) << 32) + np.repeat(np.arange(len(sizes)), sizes)
+        often = np.repeat(sizes, sizes).astype(np.int64)
+        order = np.argsort(at, kind="stable")
+        used, starts = np.unique(at[order], return_index=True)
+        cuts = [*starts.tolist(), len(order)]
+        element, often = element[order], often[order]
+        rows = [(keys[k], element[i:j].tobytes(), often[i:j].tobytes()) for k, i, j in zip(used, cuts, cuts[1:])]
+        return pd.DataFrame(rows, columns=["key", "elements", "often"])
+
+    parts = _with_nodes(groups, nodes, own, "key binary, elements binary, often binary")
+    whole = parts.groupBy("key").agg(F.collect_list(F.struct("elements", "often")).alias("parts")).join(nodes, "key")
+
+    def ordered(batches):
+        for pdf in batches:
+            rows = []
+            for r in pdf.itertuples(index=False):
+                element = np.frombuffer(b"".join(p["elements"] for p in r.parts), np.int64)
+                often = np.frombuffer(b"".join(p["often"] for p in r.parts), np.int64)
+                first = len(element) + (percent * r.n) // -100 + 1  # all but what the threshold needs, and one
+                if first > 0:
+                    rank = np.lexsort((element, often))[:first]
+                    rows.append((r.key, r.label, r.n, np.sort(element).tobytes(), np.sort(element[rank]).tobytes()))
+            yield pd.DataFrame(rows, columns=["key", "label", "n", "elements", "prefix"])
+
+    return whole.select("key", "label", "n", "parts").mapInPandas(ordered, "key binary, label binary, n long, elements binary, prefix binary")
+
+
+def candidates(sets: DataFrame, percent: int, fragments: int) -> DataFrame:
+    """Pairs (a, b) of different components that share prefix n-grams and are of like size, with their number."""
+
+    def scattered_prefix(batches):
+        for pdf in batches:
+            for r in pdf.itertuples(index=False):
+                prefix = np.frombuffer(r.prefix, np.int64)
+                part = prefix % fragments
+                for f in np.unique(part):
+                    yield pd.DataFrame({"fragment": [f], "key": [r.key], "label": [r.label], "n": [r.n], "prefix": [prefix[part == f].tobytes()]})
+
+    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+        size, element = pdf["n"].to_numpy(), [np.frombuffer(p, np.int64) for p in pdf["prefix"]]
+        label = np.unique(pdf["label"].to_numpy(), return_inverse=True)[1]
+        owner, element = np.repeat(np.arange(len(pdf)), [len(e) for e in element]), np.concatenate(element)
+        # inside a group from small to large, so that a member meets only the next ones of like size
+        order = np.lexsort((size[owner], element))
+        owner, element = owner[order], element[order]
+        found, step = [], 1
+        left = np.arange(len(owner) - 1)
+        while len(left):
+            left = left[left + step < len(owner)]
+            near = element[left] == element[left + step]
+            near &= size[owner[left]] * 100 >= percent * size[owner[left + step]]
+            left = left[near]
+            a, b = owner[left], owner[left + step]
+            apart = label[a] != label[b]
+            found.append(np.minimum(a, b)[apart] * len(pdf) + np.maximum(a, b)[apart])
+            step += 1
+        code, shared = np.unique(np.concatenate(found) if found else np.empty(0, np.int64), return_counts=True)
+        keys = pdf["key"].to_numpy()
+        one, two = keys[code // len(pdf)], keys[code % len(pdf)]
+        return pd.DataFrame({"a": np.where(one < two, one, two), "b": np.where(one < two, two, one), "shared": shared})
+
+    split = sets.select("key", "label", "n", "prefix").mapInPandas(scattered_prefix, "fragment int, key binary, label binary, n long, prefix binary")
+    partial = split.groupBy("fragment").applyInPandas(pairs, _PAIRS)
     return partial.groupBy("a", "b").agg(F.sum("shared").alias("shared"))
 
 
-def set_components(rows: DataFrame, docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame | None]:
-    """Sets of ``rows`` (key, n, head) and, where there are links, the root of each linked set."""
-    sets = rows.where("key is not null").groupBy("key").agg(F.max("n").alias("n"), F.min("doc_id").alias("head"))
-    groups = materialize(shared_groups(docs, n, fragments_for(docs, FRAGMENT_BYTES)))
+def checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sets reach the threshold, counted over all n-grams they can share."""
+    sides = [sets.select(F.col("key").alias(s), F.col("n").alias(f"n_{s}"), F.col("elements").alias(f"in_{s}")) for s in "ab"]
+
+    def run(batches):
+        for pdf in batches:
+            keep = []
+            for r in pdf.itertuples(index=False):
+                both = len(np.intersect1d(np.frombuffer(r.in_a, np.int64), np.frombuffer(r.in_b, np.int64), assume_unique=True))
+                keep.append(both * 100 >= percent * (r.n_a + r.n_b - both))
+            yield pdf.loc[keep, ["a", "b"]]
+
+    return pairs.select("a", "b").join(sides[0], "a").join(sides[1], "b").mapInPandas(run, "a binary, b binary")
+
+
+def contracted(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Labels (node, root) after new links; only the links between labels are followed."""
+    if roots is None:
+        return components(links)
+    named = links
+    for side in "ab":
+        own = roots.select(F.col("node").alias(side), F.col("root").alias("name"))
+        named = named.join(own, side, "left").withColumn(side, F.coalesce("name", side)).drop("name")
+    moved = components(named.distinct()).select("node", F.col("root").alias("target"))
+    old = roots.join(moved.withColumnRenamed("node", "root"), "root", "left").select("node", F.coalesce("target", "root").alias("root"))
+    fresh = moved.join(roots, "node", "left_anti").select("node", F.col("target").alias("root"))
+    return materialize(old.unionByName(fresh))
+
+
+def _labelled(frame: DataFrame, roots: DataFrame | None, key: str, name: str) -> DataFrame:
+    if roots is None:
+        return frame.withColumn(name, F.col(key))
+    own = roots.select(F.col("node").alias(key), F.col("root").alias("found"))
+    return frame.join(own, key, "left").withColumn(name, F.coalesce("found", key)).drop("found")
+
+
+def residual_links(groups: DataFrame, nodes: DataFrame, roots: DataFrame | None, percent: int, fragments: int) -> DataFrame | None:
+    """Labels after all links that are left between the open sets ``nodes`` (key, label, n)."""
+    sets = materialize(open_sets(groups, nodes, percent))
+    pairs = materialize(candidates(sets, percent, fragments))
+    for number in range(BEST_ROUNDS + 1):
+        if pairs.limit(1).count() == 0:
+            break
+        now, later = pairs, None
+        if number < BEST_ROUNDS:
+            # max_by keeps one pair per bucket and set: a few likely ones of every set, without a window
+            bucket = F.pmod(F.xxhash64("b", F.lit(number)), F.lit(BEST))
+            best = pairs.groupBy("a", bucket.alias("bucket")).agg(F.max_by("b", F.struct("shared", "b")).alias("b")).select("a", "b")
+            now, later = best, pairs.join(best, ["a", "b"], "left_anti")
+        found = materialize(checked(now, sets, percent))
+        if found.limit(1).count():
+            roots = contracted(roots, found)
+        if later is None:
+            break
+        if roots is not None:
+            later = _labelled(_labelled(later, roots, "a", "label_a"), roots, "b", "label_b").where("label_a <> label_b").drop("label_a", "label_b")
+        pairs = materialize(later)
+    return roots
+
+
+def set_components(groups: DataFrame, sets: DataFrame, percent: int, fragments: int) -> DataFrame | None:
+    """The root of each linked set of ``sets`` (key, n), where there are links."""
+    groups = groups.where("fragment is not null")
     sizes = sets.select("key", "n")
 
     def certain(counts: DataFrame) -> DataFrame:
@@ -248,39 +366,45 @@ def set_components(rows: DataFrame, docs: DataFrame, n: int, percent: int) -> tu
         sized = pairs.join(sizes.select(F.col("key").alias("a"), F.col("n").alias("n_a")), "a").join(sizes.select(F.col("key").alias("b"), F.col("n").alias("n_b")), "b")
         return sized.where(F.col("shared") * 100 >= F.lit(percent) * (F.col("n_a") + F.col("n_b") - F.col("shared"))).select("a", "b")
 
-    links, roots, nodes = None, None, None
+    roots, nodes = None, None
     for seed in range(ROUNDS):
         counts = materialize(_count(groups, nodes, seed))
-        able = counts.where("b is null").join(sizes.withColumnRenamed("key", "a"), "a").where(F.col("shared") * 100 >= F.lit(percent) * F.col("n")).select(F.col("a").alias("key"))
+        able = counts.where("b is null").join(sizes.withColumnRenamed("key", "a"), "a").where(F.col("shared") * 100 >= F.lit(percent) * F.col("n")).select(F.col("a").alias("key"), "n")
         found = materialize(certain(counts))
         more = found.limit(1).count() > 0
         if more:
-            links = found if links is None else links.unionByName(found)
-            roots = components(links)
-        labelled = able.withColumn("label", F.col("key")) if roots is None else able.join(roots.withColumnRenamed("node", "key"), "key", "left").select("key", F.coalesce("root", "key").alias("label"))
-        nodes = materialize(labelled)
+            roots = contracted(roots, found)
+        nodes = materialize(_labelled(able, roots, "key", "label"))
         if not more or nodes.limit(1).count() == 0:
             break
     if nodes.limit(1).count():
-        found = materialize(certain(_count(groups, nodes, None)))
-        if found.limit(1).count():
-            links = found if links is None else links.unionByName(found)
-            roots = components(links)
-    return sets, roots
+        roots = residual_links(groups, nodes, roots, percent, fragments)
+    return roots
+
+
+def _joined(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Rows (doc_id, text_key, key, n), the sets of the corpus (key, n) and the roots of linked ones."""
+    fragments = fragments_for(docs, FRAGMENT_BYTES)
+    groups = materialize(shared_groups(docs.select("text"), n, fragments))
+    texts = materialize(set_of_text(groups))
+    rows = docs.select("doc_id", text_key(F.coalesce("text", F.lit(""))).alias("text_key")).join(texts, "text_key", "left")
+    rows = materialize(rows.select("doc_id", "text_key", "key", F.coalesce("n", F.lit(0).cast("long")).alias("n")))
+    sets = texts.groupBy("key").agg(F.max("n").alias("n"))
+    return rows, sets, set_components(groups, sets, percent, fragments)
 
 
 def join_components(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs``."""
     small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = materialize(members(docs, n))
-    sets, roots = set_components(rows, docs, n, percent)
+    rows, _, roots = _joined(docs, n, percent)
+    per_set = rows.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("head"))
+    per_set = materialize(_labelled(per_set, roots, "key", "root"))
     if roots is None:
-        per_set = sets.select("key", F.col("head").alias("least"))
+        per_set = per_set.select("key", F.col("head").alias("least"))
     else:
-        own = materialize(sets.join(roots.withColumnRenamed("node", "key"), "key", "left").select("key", "head", F.coalesce("root", "key").alias("root")))
-        least = own.groupBy("root").agg(F.min("head").alias("least"))
-        per_set = own.join(least, "root").select("key", "least")
+        least = per_set.groupBy("root").agg(F.min("head").alias("least"))
+        per_set = per_set.join(least, "root").select("key", "least")
     return rows.join(per_set, "key", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
 
@@ -294,8 +418,7 @@ def drop_duplicates(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame
     docs, restored = set_aside(docs, "doc_id", "text")
     worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     own = docs.where(worded).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = materialize(members(own, n, with_text_key=True))
-    sets, roots = set_components(rows, own.select("doc_id", "text"), n, percent)
+    rows, _, roots = _joined(own, n, percent)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")).alias("first")
     per_set = rows.groupBy("key").agg(first)
     if roots is not None:
