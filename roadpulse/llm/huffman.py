@@ -6,8 +6,8 @@ occurs; ids sorted by length and value get consecutive codes, so lengths are the
 coded bits, and the bit offset of every ``CHECKPOINT``-th id. A block is decoded without any
 other, and inside it all checkpoints are decoded side by side through one look-up table.
 
-Texts are tokenized once: ids are staged as a table, counted (one row per id of the vocabulary
-reaches the driver), dealt into ranges of doc_id, sorted and coded. The staged table is
+Texts are tokenized once: ids are staged as a table, with a row per task that counts its ids (one
+row per id of the vocabulary reaches the driver), dealt into ranges of doc_id, sorted and coded. The staged table is
 removed when the blocks are written. Rows without doc_id come first.
 
 Defined results: a null or empty text is the end id alone; a long text is one long block; rows
@@ -32,6 +32,8 @@ from roadpulse.session import checkpoint_dir
 MAX_BITS = 18
 BLOCK_IDS = 65_536
 CHECKPOINT = 512
+#: ids of a staged text; vocabularies have fewer than 65,536 ids, else the type has to be wider.
+_STAGED = "<u2"
 
 
 def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
@@ -91,8 +93,9 @@ def encode_block(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tup
     placed = codes[ids] << shift
     words = np.zeros((int(ends[-1]) >> 5) + 3, np.uint32)
     at = starts >> 5
-    np.add.at(words, at, (placed >> np.uint64(32)).astype(np.uint32))
-    np.add.at(words, at + 1, placed.astype(np.uint32))
+    first = np.flatnonzero(np.diff(at, prepend=-1))  # codes of one word follow each other
+    words[at[first]] = np.add.reduceat((placed >> np.uint64(32)).astype(np.uint32), first)
+    words[at[first] + 1] += np.add.reduceat(placed.astype(np.uint32), first)
     return words.astype(">u4").tobytes(), starts[::CHECKPOINT].astype(np.int64)
 
 
@@ -129,31 +132,39 @@ def write(docs: DataFrame, folder: str, tokenizer: str = "word_bpe_49k.json", ke
     """Tokenize ``docs`` and write their ids to ``folder`` in ascending order of doc_id."""
     spark = small_batches(docs.sparkSession)
     staged_at = f"{folder}-staged"
+    if len(encoder(tokenizer, keeps_spaces).edges) > 1 << 16 or end_id >= 1 << 16:
+        raise ValueError("the staged ids hold 16 bits")
 
     def tokenize(batches):
         encode, press = encoder(tokenizer, keeps_spaces), zstandard.ZstdCompressor(level=1)
-        end = np.array([end_id], np.uint32)
+        end, counts = np.array([end_id], np.uint32), np.zeros(0, np.int64)
+        names = ["doc_id", "n_tokens", "ids", "counts"]
         for batch in batches:
             ids = [np.concatenate([x, end]) for x in encode([t or "" for t in batch.column(1).to_pylist()])]
+            if ids:
+                own = np.bincount(np.concatenate(ids))
+                if len(own) > len(counts):
+                    own, counts = counts, own.astype(np.int64)
+                counts[: len(own)] += own
             sizes = pa.array([len(x) for x in ids], pa.int64())
-            planes = [x.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].T.tobytes() for x in ids]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), sizes, pa.array([press.compress(p) for p in planes], pa.binary())], ["doc_id", "n_tokens", "ids"])
+            parts = pa.array([press.compress(x.astype(_STAGED).tobytes()) for x in ids], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), sizes, parts, pa.nulls(len(ids), pa.binary())], names)
+        if counts.any():
+            told = pa.array([press.compress(counts.tobytes())], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), told], names)
 
-    docs.select("doc_id", "text").mapInArrow(tokenize, "doc_id long, n_tokens long, ids binary").write.parquet(staged_at)
+    docs.select("doc_id", "text").mapInArrow(tokenize, "doc_id long, n_tokens long, ids binary, counts binary").write.parquet(staged_at)
     staged = spark.read.parquet(staged_at)
 
     def count(batches):
-        counts, expand = np.zeros(0, np.int64), zstandard.ZstdDecompressor()
+        expand = zstandard.ZstdDecompressor()
         for batch in batches:
             for data in batch.column(0).to_pylist():
-                own = np.bincount(_unplaned(expand.decompress(data)))
-                if len(own) > len(counts):
-                    own, counts = counts, own.astype(np.int64)
-                counts[: len(own)] += own
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(counts[at], pa.int64())], ["id", "n"])
+                counts = np.frombuffer(expand.decompress(data), np.int64)
+                at = np.flatnonzero(counts)
+                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(counts[at], pa.int64())], ["id", "n"])
 
-    totals = staged.select("ids").mapInArrow(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).orderBy("id").collect()
+    totals = staged.where("counts is not null").select("counts").mapInArrow(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).orderBy("id").collect()
     ids = np.array([r.id for r in totals], np.uint32)
     lengths = code_lengths(np.array([r.n for r in totals], np.int64))
     rows = [(int(i), int(n)) for i, n in zip(ids, lengths)]
@@ -165,7 +176,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str = "word_bpe_49k.json", ke
         part, waiting, held, first = TaskContext.get().partitionId(), [], 0, 0
         for batch in batches:
             for doc_id, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                waiting.append((doc_id, _unplaned(expand.decompress(data))))
+                waiting.append((doc_id, np.frombuffer(expand.decompress(data), _STAGED)))
                 held += len(waiting[-1][1])
                 if held >= BLOCK_IDS:
                     yield block(part, first, waiting, table)
@@ -180,7 +191,8 @@ def write(docs: DataFrame, folder: str, tokenizer: str = "word_bpe_49k.json", ke
         return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], ["part", "first", "doc_ids", "sizes", "bits", "checkpoints"])
 
     (
-        staged.select("doc_id", "ids")
+        staged.where("ids is not null")
+        .select("doc_id", "ids")
         .repartitionByRange(shuffle_tasks(spark) * 2, "doc_id")
         .sortWithinPartitions("doc_id", "ids")
         .mapInArrow(code, "part int, first long, doc_ids array<long>, sizes array<long>, bits binary, checkpoints array<long>")
@@ -191,12 +203,6 @@ def write(docs: DataFrame, folder: str, tokenizer: str = "word_bpe_49k.json", ke
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def _unplaned(raw: bytes) -> np.ndarray:
-    planes = np.zeros((len(raw) // 3, 4), np.uint8)
-    planes[:, :3] = np.frombuffer(raw, np.uint8).reshape(3, -1).T
-    return planes.view("<u4").ravel()
-
-
 def read(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 and, with ``with_ids``, the ids of every document."""
     blocks = spark.read.parquet(f"{folder}/blocks")

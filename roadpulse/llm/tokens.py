@@ -19,6 +19,7 @@ _SPACE = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?!\S)")
 _LETTERS = r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u0148\u014A-\u024F]+)"
 _MARKS = r"([!\"#$%&()*+,\-./:;=>?@\[\\\]^_`{|}~]*)"
+_MARK = frozenset("!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~")
 #: Letters with punctuation behind them, and perhaps the same again on the next line. An
 #: apostrophe is left out: with the letters after it, it can be one piece.
 _PLAIN = re.compile(f"{_LETTERS}{_MARKS}(?:\n{_LETTERS}{_MARKS})?")
@@ -72,6 +73,18 @@ class PieceEncoder:
         inner = "\0" if self.keeps_spaces else ""  # begins a part without a space before it
         line = [inner + "\n"] if inner else []
         for p in pieces:
+            if p.isascii() and len(p) <= _LONG:
+                # the common cases of the pattern: a word, or a word and one mark
+                if p.isalpha():
+                    if p not in words:
+                        new.add(p)
+                    continue
+                head, mark = p[:-1], p[-1:]
+                if mark in _MARK and head.isalpha():
+                    if head not in words:
+                        new.add(head)
+                    made.append((p, [head, inner + mark]))
+                    continue
             m = _PLAIN.fullmatch(p) if len(p) <= _LONG else None
             if not m:
                 others.append(p)
