@@ -148,4 +148,47 @@ def mixing_sql(share: tuple[int, int], max_epochs: int, seed: int) -> str:
 SELECT doc_id, domain, lang, source, n_tokens, CAST(unnest(range(n)) AS INTEGER) AS epoch FROM copies WHERE n > 0"""
 
 
-ORACLES: dict[str, str] = {"op1_mixing": mixing_sql((4, 5), 2, 17), "op11_vector_codes": vector_codes.vector_codes_sql(), "op13_collocations": collocations.collocations_sql()}
+_WORDS = "list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: Repeated windows of 35 words, by counting all windows.
+SUBSTRING_SQL = f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM documents),
+ windows AS (SELECT rid, i, md5(array_to_string(w[i:i+34], ' ')) AS h FROM (SELECT rid, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+ again AS (SELECT rid, i FROM windows WHERE h IN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1)),
+ words AS (SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+ marked AS (SELECT rid, word, i, i - coalesce(max(begun) OVER (PARTITION BY rid ORDER BY i), -100) < 35 AS gone FROM words LEFT JOIN (SELECT rid, i, i AS begun FROM again) a USING (rid, i)),
+ kept AS (SELECT rid, count_if(gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS text FROM marked GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (rid)"""
+
+#: Links by comparing all vectors of a label, components by following links from every vector.
+EMBEDDING_SQL = """WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+   AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+ links AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+   WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+ reached(id, root) AS (SELECT a, a FROM links UNION SELECT l.b, r.root FROM reached r JOIN links l ON l.a = r.id),
+ least AS (SELECT id, min(root) AS root FROM reached GROUP BY id), numbers AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(root, vec_id) AS component_id, coalesce(root, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN numbers ON a = vec_id LEFT JOIN least ON id = vec_id"""
+
+#: Overlaps of all pairs of different sets that share a shingle.
+NGRAM_SQL = f"""WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+ s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+   ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')))) END AS shingles FROM d),
+ named AS MATERIALIZED (SELECT doc_id, len(shingles) AS n, CASE WHEN len(shingles) > 0 THEN md5(array_to_string(shingles, chr(10))) END AS k, shingles FROM s),
+ sets AS MATERIALIZED (SELECT k, any_value(n) AS n, any_value(shingles) AS shingles FROM named WHERE k IS NOT NULL GROUP BY k),
+ postings AS MATERIALIZED (SELECT k, n, unnest(shingles) AS x FROM sets),
+ links AS MATERIALIZED (SELECT a.k AS a, b.k AS b FROM postings a JOIN postings b ON a.x = b.x AND a.k <> b.k
+   GROUP BY a.k, b.k HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))),
+ reached(k, root) AS (SELECT k, k FROM sets UNION SELECT l.b, r.root FROM reached r JOIN links l ON l.a = r.k),
+ class AS (SELECT k, min(root) AS root FROM reached GROUP BY k),
+ least AS (SELECT root, min(doc_id) AS least FROM named JOIN class USING (k) GROUP BY root)
+SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, coalesce(least, doc_id) AS component_id FROM named LEFT JOIN class USING (k) LEFT JOIN least USING (root)"""
+
+ORACLES: dict[str, str] = {
+    "op2_substring_dedup": SUBSTRING_SQL,
+    "op3_embedding_dedup": EMBEDDING_SQL,
+    "op4_ngram_join": NGRAM_SQL,
+    "op1_mixing": mixing_sql((4, 5), 2, 17),
+    "op11_vector_codes": vector_codes.vector_codes_sql(),
+    "op13_collocations": collocations.collocations_sql(),
+}
