@@ -28,11 +28,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only where none is named."""
+    """The shared checkpoint folder; a temporary one only where none is named and all tasks run here."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="run-"))
         current = context.getCheckpointDir()
     return current
