@@ -12,6 +12,7 @@ from roadpulse.plans.fixtures import AS_OF, json_messages
 from roadpulse.plans.oracle import rd
 from roadpulse.session import checkpoint_dir
 from roadpulse.sources import tables
+from roadpulse.sources.envelope import stream_files
 from roadpulse.streaming import processing, routing, windows
 from roadpulse.streaming.processing import TablePaths
 
@@ -165,6 +166,23 @@ def p2(t):
     )
 
 
+@query(
+    "x8_live_scoring",
+    """SELECT "offset" AS kafka_offset, CASE WHEN "offset" % 2 = 0 THEN '1' ELSE '2' END AS model_version, true AS scored FROM checked_fx""",
+)
+def x8(t):
+    """A stream that goes on while a newer version of the models appears."""
+    root = place(t)
+    paths = TablePaths(f"{root}/tables")
+    for version, rest in (("1", 0), ("2", 1)):
+        train.save(_models(t), t.spark, f"{root}/models/{version}")
+        t.messages.where(F.col("offset") % 2 == rest).write.mode("append").parquet(f"{root}/topic")
+        stream = stream_files(t.spark, f"{root}/topic", "parquet", max_files=100)
+        windows.start_scoring(stream, f"{root}/models", paths, f"{root}/checkpoint", once=True).awaitTermination()
+    rows = tables.read_parts(t.spark, paths.predictions)
+    return rows.select("kafka_offset", "model_version", F.col("predicted_congestion").isNotNull().alias("scored"))
+
+
 @query("m6_isolation_forest")
 def m6(t):
     rows = training_rows(t.traffic)

@@ -168,6 +168,17 @@ def test_jobs_and_live_scoring(spark, table, tmp_path):
     rows = tables.read_parts(spark, paths.predictions).collect()
     assert len(rows) == 5 and all(r["is_anomaly"] is not None and r["predicted_speed"] >= 0 for r in rows)
 
+    # a newer version is taken by the next micro-batch, half-written ones are not
+    shelf = str(tmp_path / "shelf")
+    for k, version in enumerate(("1.9", "1.10")):
+        train.save(models, spark, f"{shelf}/{version}")
+        (tmp_path / "shelf" / "2.0").mkdir(exist_ok=True)
+        write_envelope(f"{folder}2", f"f{k}", envelope_rows([variant(id=f"{version}-{i}") for i in range(3)], start=100 + 10 * k))
+        query = start_scoring(envelope.stream_files(spark, f"{folder}2"), shelf, paths, str(tmp_path / "cp2"), once=True)
+        assert query.awaitTermination(120)
+    found = tables.read_parts(spark, paths.predictions).where("record_id like '1.%'").collect()
+    assert len(found) == 6 and all(r["record_id"].split("-")[0] == r["model_version"] for r in found)
+
 
 def test_rounding_of_predictions(spark):
     df = spark.createDataFrame([(0.123456,)], "v double")
