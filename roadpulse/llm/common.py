@@ -213,8 +213,12 @@ def gathered(rows) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.
     return keys, hashes, np.repeat(numbers, counts)[keep], places, checks
 
 
-def _joined(batches):
-    """Links of one task as links to the smallest node of each of its sets."""
+#: Links that one task follows at once; more are followed by rounds of joins, to the same end.
+FEW_LINKS = 100_000
+
+
+def _sets(batches) -> list[tuple]:
+    """All nodes of some links with the smallest node of their sets."""
     parent: dict = {}
 
     def find(x):
@@ -228,14 +232,23 @@ def _joined(batches):
             a, b = find(a), find(b)
             if a != b:
                 parent[max(a, b)] = min(a, b)
-    rows = [(x, find(x)) for x in list(parent)]
-    yield pd.DataFrame([r for r in rows if r[0] != r[1]], columns=["a", "b"])
+    return [(x, find(x)) for x in list(parent)]
+
+
+def _joined(batches):
+    """Links of one task as links to the smallest node of each of its sets."""
+    yield pd.DataFrame([r for r in _sets(batches) if r[0] != r[1]], columns=["a", "b"])
+
+
+def _followed(batches):
+    yield pd.DataFrame(_sets(batches), columns=["node", "root"])
 
 
 def components(links: DataFrame) -> DataFrame:
     """Connected components of ``links`` (a, b): rows (node, root), root the smallest node reachable.
 
-    Each task first joins its own part of the links, which leaves one link per node and task.
+    Each task first joins its own part of the links, which leaves one link per node and task; a
+    small, counted number of them is followed to the end by one task.
     Each round then points every node to the smallest label around it, then follows the
     labels once (pointer jumping), so the rounds grow with the logarithm of a chain. A hub's
     many links meet in an aggregate with map-side combine, never in one list. Labels are
@@ -243,6 +256,8 @@ def components(links: DataFrame) -> DataFrame:
     """
     kind = links.schema["a"].dataType.simpleString()
     links = materialize(links.select("a", "b").where("a <> b").mapInPandas(_joined, f"a {kind}, b {kind}"))
+    if links.limit(FEW_LINKS + 1).count() <= FEW_LINKS:
+        return materialize(links.coalesce(1).mapInPandas(_followed, f"node {kind}, root {kind}"))
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     roots = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("root")))
     while True:

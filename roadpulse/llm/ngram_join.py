@@ -262,16 +262,24 @@ def candidates(sets: DataFrame, percent: int, fragments: int) -> DataFrame:
 
     def scattered_prefix(batches):
         for pdf in batches:
-            for r in pdf.itertuples(index=False):
-                prefix = np.frombuffer(r.prefix, np.int64)
-                part = prefix % fragments
-                for f in np.unique(part):
-                    yield pd.DataFrame({"fragment": [f], "key": [r.key], "label": [r.label], "n": [r.n], "prefix": [prefix[part == f].tobytes()]})
+            prefix = [np.frombuffer(p, np.int64) for p in pdf["prefix"]]
+            owner, element = np.repeat(np.arange(len(prefix)), [len(p) for p in prefix]), np.concatenate([np.empty(0, np.int64), *prefix])
+            part = element % fragments
+            order = np.argsort(part, kind="stable")
+            cuts = np.searchsorted(part[order], np.arange(fragments + 1))
+            keys, labels, sizes = pdf["key"].to_numpy(), pdf["label"].to_numpy(), pdf["n"].to_numpy()
+            rows = []
+            for f in np.flatnonzero(np.diff(cuts)):
+                own = order[cuts[f] : cuts[f + 1]]
+                used, counts = np.unique(owner[own], return_counts=True)
+                rows.append((f, b"".join(keys[used]), b"".join(labels[used]), sizes[used].tobytes(), counts.tobytes(), element[own].tobytes()))
+            yield pd.DataFrame(rows, columns=["fragment", "keys", "labels", "sizes", "counts", "elements"])
 
     def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-        size, element = pdf["n"].to_numpy(), [np.frombuffer(p, np.int64) for p in pdf["prefix"]]
-        label = np.unique(pdf["label"].to_numpy(), return_inverse=True)[1]
-        owner, element = np.repeat(np.arange(len(pdf)), [len(e) for e in element]), np.concatenate(element)
+        size, counts, element = (np.frombuffer(b"".join(pdf[c]), np.int64) for c in ("sizes", "counts", "elements"))
+        keys = np.array(_split_keys(b"".join(pdf["keys"])), dtype=object)
+        label = np.unique(np.array(_split_keys(b"".join(pdf["labels"])), dtype=object), return_inverse=True)[1]
+        owner = np.repeat(np.arange(len(keys)), counts)
         # inside a group from small to large, so that a member meets only the next ones of like size
         order = np.lexsort((size[owner], element))
         owner, element = owner[order], element[order]
@@ -284,14 +292,13 @@ def candidates(sets: DataFrame, percent: int, fragments: int) -> DataFrame:
             left = left[near]
             a, b = owner[left], owner[left + step]
             apart = label[a] != label[b]
-            found.append(np.minimum(a, b)[apart] * len(pdf) + np.maximum(a, b)[apart])
+            found.append(np.minimum(a, b)[apart] * len(keys) + np.maximum(a, b)[apart])
             step += 1
         code, shared = np.unique(np.concatenate(found) if found else np.empty(0, np.int64), return_counts=True)
-        keys = pdf["key"].to_numpy()
-        one, two = keys[code // len(pdf)], keys[code % len(pdf)]
+        one, two = keys[code // len(keys)], keys[code % len(keys)]
         return pd.DataFrame({"a": np.where(one < two, one, two), "b": np.where(one < two, two, one), "shared": shared})
 
-    split = sets.select("key", "label", "n", "prefix").mapInPandas(scattered_prefix, "fragment int, key binary, label binary, n long, prefix binary")
+    split = sets.select("key", "label", "n", "prefix").mapInPandas(scattered_prefix, "fragment int, keys binary, labels binary, sizes binary, counts binary, elements binary")
     partial = split.groupBy("fragment").applyInPandas(pairs, _PAIRS)
     return partial.groupBy("a", "b").agg(F.sum("shared").alias("shared"))
 

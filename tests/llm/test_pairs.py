@@ -7,7 +7,7 @@ import brute
 import numpy as np
 import pytest
 
-from roadpulse.llm import catalog, embedding_dedup, ngram_join, substring_dedup
+from roadpulse.llm import catalog, common, embedding_dedup, ngram_join, substring_dedup
 from roadpulse.llm.common import components
 
 FOLDER = "/root/testdata/sf0.001"
@@ -64,10 +64,11 @@ def test_repeats_of_documents(spark):
     assert got == Counter((i, n, g, brute.sha(k)) for i, n, g, k in brute.repeats(documents(spark)))
 
 
-@pytest.mark.parametrize("rounds", [1, 6])
-def test_ngram_join(texts, monkeypatch, rounds):
+@pytest.mark.parametrize("rounds, centres, seed", [(1, 1, 5), (1, 8, 6), (6, 8, 5)])
+def test_ngram_join(texts, monkeypatch, rounds, centres, seed):
     monkeypatch.setattr(ngram_join, "ROUNDS", rounds)
-    rows = families(5)
+    monkeypatch.setattr(ngram_join, "CENTRES", centres)
+    rows = families(seed)
     got = Counter(tuple(r) for r in ngram_join.join_components(texts(rows)).collect())
     assert got == Counter(brute.jaccard_components(rows))
 
@@ -84,7 +85,9 @@ def test_one_of_each_group_stays(texts):
     assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter([(1, "A b c d e f"), (2, None), (2, None), (3, ""), (5, "x y"), (5, "q r s")])
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_components(spark, monkeypatch, few):
+    monkeypatch.setattr(common, "FEW_LINKS", few)
     links = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 102), (102, 100), (7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 102: 100}
