@@ -13,7 +13,9 @@ import check_queries  # noqa: E402
 import __spark_entry__ as entry  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
-CHECKED = sorted(entry.oracle_sql())
+#: Needs trained models, for which the smallest tables have too few rows; ``test_models.py`` covers its parts.
+TRAINED = {"x8_live_scoring"}
+CHECKED = sorted(set(entry.oracle_sql()) - TRAINED)
 
 
 @pytest.fixture(scope="module")
