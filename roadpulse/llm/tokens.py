@@ -57,7 +57,7 @@ class PieceEncoder:
     def _encode_words(self, words: list[str]) -> list[bytes]:
         """ids of plain words with a space before each, encoded as one text and cut at its words."""
         joined = " " + " ".join(words) if self.keeps_spaces else " ".join(words)
-        ids = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, np.uint32)
+        ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.uint32)
         cuts = np.flatnonzero(self.edges[ids])
         cuts = (cuts if self.keeps_spaces else np.concatenate([[0], cuts + 1])).tolist()
         whole = ids.tobytes()
