@@ -2,6 +2,7 @@
 
 import json
 import os
+import urllib.parse
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ PAGE = 1000
 
 def _pages(t) -> str:
     """The readings as page files of the remote table, in the order of their ids, written by the tasks."""
-    folder = f"{place(t)}/pages".removeprefix("file://")
+    folder = f"{urllib.parse.urlparse(place(t)).path}/pages"  # page files are read as plain files of a shared folder
     fields = [c for c in RAW_FIELDS if c in t.raw.columns]
     numbered = t.raw.withColumn("offset", (F.floor(F.col("kafka_offset") / PAGE) * PAGE).cast("long"))
 
