@@ -9,6 +9,7 @@ from roadpulse.functions.casts import round_dec
 from roadpulse.ml import evaluate, features, isoforest, score, train
 from roadpulse.plans import training_job
 from roadpulse.schema import BOROUGHS
+from roadpulse.session import spread
 from roadpulse.sources import envelope, sinks, tables
 from roadpulse.streaming.processing import TablePaths
 
@@ -218,3 +219,14 @@ def test_registered_queries_train_at_published_settings(spark, table, monkeypatc
     with pytest.raises(Reached):
         streams.m6(t)
     assert seen["trees"] == 200
+
+
+def test_training_uses_several_tasks_and_does_not_follow_the_layout(table):
+    rows = table.select("record_id", "processed_at", "speed")
+    one, many = (train.dealt(rows.repartition(n), 30_000).rdd.glom().collect() for n in (1, 7))
+    assert len(one) == 3 and one == many and min(len(part) for part in one) > 1000
+    assert sum(len(part) for part in one) == rows.count()
+
+
+def test_scoring_uses_all_cores(spark, table):
+    assert spread(table.coalesce(1)).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
