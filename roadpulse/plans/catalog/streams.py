@@ -28,7 +28,7 @@ def place(t) -> str:
 def _messages(t):
     """The messages as a stream over the folder of the events table."""
     reader = t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet")
-    return json_messages(reader.parquet(t.folder))
+    return json_messages(spread(reader.parquet(t.folder)))
 
 
 def _drain(start, t, *args, **options):

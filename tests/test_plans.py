@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions.quantiles import exact_percentiles, value_counts
 from roadpulse.operators import hourly, ingest, lineage, quality, reports, serving
-from roadpulse.plans.catalog import REGISTRY
+from roadpulse.plans.catalog import REGISTRY, streams
 from roadpulse.plans.fixtures import AS_OF, Tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -104,3 +104,8 @@ def test_skewed_borough_gives_the_same_statistics(t):
     assert both.count() == plain.count() == found.count()
     wrong = both.where("n <> record_count OR abs(m - median_speed) > 1e-9 OR abs(a - avg_speed) > 1e-9")
     assert wrong.count() == 0
+
+
+def test_messages_of_a_file_with_one_row_group_use_all_cores(t):
+    """All streams over the table start here; parsing and keying came before the first shuffle."""
+    assert "Repartition" in streams._messages(t)._jdf.queryExecution().analyzed().toString()
