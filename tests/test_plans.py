@@ -109,3 +109,8 @@ def test_skewed_borough_gives_the_same_statistics(t):
 def test_messages_of_a_file_with_one_row_group_use_all_cores(t):
     """All streams over the table start here; parsing and keying came before the first shuffle."""
     assert "Repartition" in streams._messages(t)._jdf.queryExecution().analyzed().toString()
+
+
+def test_the_forest_cleans_the_table_once_and_scores_on_all_cores(t, spark):
+    df = REGISTRY["m6_isolation_forest"].build(t)
+    assert "FileScan" not in plan(df) and df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
