@@ -183,15 +183,15 @@ def scattered(docs: list[tuple], fragments: int):
             }
 
 
-def fragment_groups(batches):
-    """Rows of a task, which come sorted by fragment, one fragment at a time."""
+def fragment_groups(batches, by: str = "fragment"):
+    """Rows of a task, which come sorted by fragment (or ``by``), one fragment at a time."""
     held, current = [], None
     for pdf in batches:
         for row in pdf.itertuples(index=False):
-            if held and row.fragment != current:
+            if held and getattr(row, by) != current:
                 yield current, held
                 held = []
-            current = row.fragment
+            current = getattr(row, by)
             held.append(row)
     if held:
         yield current, held

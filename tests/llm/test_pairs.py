@@ -78,6 +78,36 @@ def test_ngram_join_of_documents(spark):
     assert got == Counter(brute.jaccard_components(documents(spark)))
 
 
+def test_pairs_of_a_family_stay_few(texts, monkeypatch):
+    """Near copies share most n-grams, but only pairs whose own edits leave enough in common are listed."""
+    rng, rows = random.Random(3), []
+    base = [f"b{i}" for i in range(150)]
+    for i in range(180):
+        now = list(base)
+        for at in rng.sample(range(0, 150, 6), rng.randint(0, 4) if i < 60 else rng.randint(6, 9)):
+            now[at] = f"e{rng.random()}"
+        rows.append((i, " ".join(now)))
+    counted = []
+
+    def candidates(*args, found=ngram_join.candidates):
+        counted.append((pairs := common.materialize(found(*args))).count())
+        return pairs
+
+    monkeypatch.setattr(ngram_join, "candidates", candidates)
+    got = Counter(tuple(r) for r in ngram_join.join_components(texts(rows)).collect())
+    assert got == Counter(brute.jaccard_components(rows))
+    assert sum(counted) < 10 * len(rows)
+
+
+def test_exact_copies_are_not_linkable(texts):
+    """Copies that several tasks send do not count as other sets; sets that share too little go no further."""
+    near = [f"n{i}" for i in range(80)]
+    rows = [(i, " ".join(f"t{i % 4}_{j}" for j in range(40))) for i in range(40)] + [(40, " ".join(near)), (41, " ".join([*near, "more"])), (42, " ".join(near[:10] + ["x"] * 40))]
+    told = common.materialize(ngram_join.told_sets(texts(rows, 5), 5, 75, 8))
+    assert sorted(r.n for r in ngram_join.linkable(told, 75).collect()) == [76, 77]
+    assert ngram_join.set_of_text(told).count() == 7
+
+
 def test_one_of_each_group_stays(texts):
     rows = [(None, "a b c d e f"), (None, "a b c d e f"), (1, "A b c d e f"), (2, None), (2, None), (3, ""), (5, "x y"), (5, "x y"), (5, "q r s")]
     kept = ngram_join.drop_duplicates(texts(rows))
