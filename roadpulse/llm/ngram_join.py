@@ -43,9 +43,9 @@ from pyspark.sql import functions as F
 from roadpulse.llm.common import POSTINGS, WordHashes, components, expand, fragment_groups, fragments_for, gathered, materialize, mixed, scattered, set_aside, small_batches, squeeze, text_key, window_hashes
 
 #: Text, and n-grams of linkable sets, in a fragment.
-FRAGMENT_BYTES = 16_000_000
+FRAGMENT_BYTES = 8_000_000
 #: N-grams that a batch of documents sends at once.
-PACK = 1 << 20
+PACK = 1 << 19
 ROUNDS = 4
 #: Centres of one group that a member is counted with in a round.
 CENTRES = 8
