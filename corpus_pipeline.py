@@ -14,6 +14,8 @@ from roadpulse.llm.catalog import LEVELS, WEIGHTS
 from roadpulse.llm.common import free_name, set_aside
 from roadpulse.session import checkpoint_dir
 
+#: Words that an encoder remembers while packing, when executors still hold the memory of the stages before.
+PACKING_WORDS = 250_000
 #: Share of the tokens left that the mixture takes; each document is used once at most.
 MIX_SHARE = (9, 10)
 
@@ -48,7 +50,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their token ids, in sequences of up to 1024 tokens."""
-    return packing.pack(docs, with_ids=True)
+    return packing.pack(docs, with_ids=True, remembered=PACKING_WORDS)
 
 
 STAGES = [

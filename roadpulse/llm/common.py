@@ -78,10 +78,29 @@ def text_key(text: str | Column) -> Column:
     return F.unhex(F.md5(text))
 
 
+_KEPT: dict = {}
+
+
+def kept(name, make):
+    """``make()``, which this worker's later tasks find again until one of them needs other tables.
+
+    Workers outlive their stage and serve those that follow. Tables of a stage that is over would
+    stay beside the tables of every later one.
+    """
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
 class WordHashes:
-    """64-bit hashes of words (text or UTF-8), remembered up to a fixed number of words."""
+    """64-bit hashes of words (text or UTF-8), remembered up to a fixed number of words.
+
+    What the worker has kept of other tasks goes.
+    """
 
     def __init__(self):
+        _KEPT.clear()
         self.known: dict[str | bytes, int] = {}
 
     def __call__(self, words: list) -> np.ndarray:

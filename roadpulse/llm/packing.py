@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from roadpulse.llm.common import small_batches
-from roadpulse.llm.tokens import encoder
+from roadpulse.llm.tokens import REMEMBERED, encoder
 
 TIERS = (1024, 512, 256, 128, 64)
 STEP_TOKENS = 32_768
@@ -133,8 +133,12 @@ def pack(
     tiers: tuple[int, ...] = TIERS,
     step_tokens: int = STEP_TOKENS,
     with_ids: bool = False,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
-    """One row per piece; with ``with_ids`` also its token ids. ``tiers`` are falling powers of two."""
+    """One row per piece; with ``with_ids`` also its token ids. ``tiers`` are falling powers of two.
+
+    ``remembered`` bounds the memory of the encoders, not the result.
+    """
     small_batches(docs.sparkSession)
     schema = _SCHEMA + (", ids array<int>" if with_ids else "")
 
@@ -151,7 +155,7 @@ def pack(
         return pa.RecordBatch.from_arrays(arrays, names)
 
     def run(batches):
-        encode = encoder(tokenizer, True)
+        encode = encoder(tokenizer, True, remembered)
         packer = Packer(tiers, TaskContext.get().partitionId() << 33, step_tokens)
         end = np.array([end_id], np.uint32)
         for batch in batches:

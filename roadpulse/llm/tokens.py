@@ -12,8 +12,10 @@ from array import array
 import numpy as np
 import public_tokenizers
 
-_KNOWN_WORDS = 1_000_000
-_KNOWN_PIECES = 250_000
+from roadpulse.llm.common import kept
+
+#: Words that an encoder remembers, and a quarter as many other pieces: about 300 MB.
+REMEMBERED = 1_000_000
 _LONG = 64
 _SPACE = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?!\S)")
@@ -28,13 +30,13 @@ _PLAIN = re.compile(f"{_LETTERS}{_MARKS}(?:\n{_LETTERS}{_MARKS})?")
 class PieceEncoder:
     """ids of texts as ``tokenizers`` gives them without added special tokens."""
 
-    def __init__(self, name: str, keeps_spaces: bool):
+    def __init__(self, name: str, keeps_spaces: bool, remembered: int = REMEMBERED):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.keeps_spaces = keeps_spaces
+        self.keeps_spaces, self.remembered = keeps_spaces, remembered
         vocabulary = self.tokenizer.get_vocab()
         self.edges = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that begin (or end) a word
         for token, i in vocabulary.items():
@@ -124,10 +126,10 @@ class PieceEncoder:
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """One array of ids per text."""
-        if len(self.words) > _KNOWN_WORDS:
+        if len(self.words) > self.remembered:
             self.words.clear()
             self.known.clear()
-        if len(self.known) > len(self.words) + _KNOWN_PIECES:
+        if len(self.known) > len(self.words) + self.remembered // 4:
             self.known.clear()
             self.known.update(self.words)
         known = self.known
@@ -144,9 +146,6 @@ class PieceEncoder:
         return out
 
 
-_ENCODERS: dict[tuple[str, bool], PieceEncoder] = {}
-
-
-def encoder(name: str, keeps_spaces: bool) -> PieceEncoder:
-    """The encoder of this Python worker, which later tasks find again."""
-    return _ENCODERS.setdefault((name, keeps_spaces), None) or _ENCODERS.update({(name, keeps_spaces): PieceEncoder(name, keeps_spaces)}) or _ENCODERS[name, keeps_spaces]
+def encoder(name: str, keeps_spaces: bool, remembered: int = REMEMBERED) -> PieceEncoder:
+    """The encoder of this Python worker, which the stage's later tasks find again."""
+    return kept(("encoder", name, keeps_spaces, remembered), lambda: PieceEncoder(name, keeps_spaces, remembered))

@@ -1,6 +1,7 @@
 """Token ids, counts, packing and token files against the tokenizers themselves."""
 
 import random
+import weakref
 import zlib
 
 import numpy as np
@@ -9,8 +10,10 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from roadpulse.llm import catalog, huffman, packing, token_counts
-from roadpulse.llm.tokens import PieceEncoder
+from roadpulse.llm.common import WordHashes
+from roadpulse.llm.tokens import PieceEncoder, encoder
 
 FOLDER = "/root/testdata/sf0.001"
 FILES = [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)]
@@ -35,6 +38,28 @@ def test_piece_encoder(name, spaces):
     assert got == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
 
 
+@pytest.mark.parametrize("name, spaces", FILES)
+def test_piece_encoder_that_remembers_little(name, spaces):
+    texts = odd_texts(3000)
+    plain = Tokenizer.from_file(public_tokenizers.path(name))
+    encode = PieceEncoder(name, spaces, remembered=40)
+    got = []
+    for i in range(0, len(texts), 100):
+        got += [ids.tolist() for ids in encode(texts[i : i + 100])]
+        now = {p for t in texts[i : i + 100] for p in t.split(" ")}
+        assert len(encode.words) <= 40 + 3 * len(now) and len(encode.known) <= len(encode.words) + 10 + 3 * len(now)
+    assert got == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("name, spaces", FILES)
+def test_worker_gives_up_the_encoder_of_a_stage_that_is_over(name, spaces):
+    own = encoder(name, spaces)
+    assert encoder(name, spaces) is own
+    own = weakref.ref(own)
+    WordHashes()  # as tasks of the toxicity and n-gram stages make
+    assert own() is None
+
+
 def test_counts(texts):
     processor = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     rows = [(i, t) for i, t in enumerate(odd_texts(1500, 2))] + [(None, None), (5000, ""), (5000, ""), (6000, "wort " * 30_000)]
@@ -81,6 +106,15 @@ def test_packing(spark, texts):
     assert packing.pack(texts([])).collect() == []
 
 
+def test_packing_of_the_pipeline(spark, texts, monkeypatch):
+    rows = documents(spark) + [(i, t) for i, t in enumerate(odd_texts(400, 3), 10**6)]
+    docs = texts(rows)
+    whole = sorted(packing.pack(docs, with_ids=True).collect())
+    for words in (corpus_pipeline.PACKING_WORDS, 100):
+        monkeypatch.setattr(corpus_pipeline, "PACKING_WORDS", words)
+        assert sorted(corpus_pipeline.pack_sequences(spark, docs, FOLDER).collect()) == whole
+
+
 def test_code_lengths():
     rng = np.random.default_rng(1)
     for n in (1, 2, 3, 50, 3000):
