@@ -51,6 +51,25 @@ def test_piece_encoder_that_remembers_little(name, spaces):
     assert got == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_words_are_learned_once_whatever_their_case_and_punctuation():
+    texts = ["Word word WORD word. Word,\nword!\tWORD\r\nÉtÉ, étÉ", "\x0bword.\x0c ... été. 'word' wOrD", "", " \n"]
+    plain = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    encode = PieceEncoder("word_bpe_49k.json", False)
+    assert [ids.tolist() for ids in encode(texts)] == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    assert encode.words.keys() == {"", "word", "ÉtÉ", "étÉ", "été", ".", ",", "!", "..."} and not encode.known
+    assert encode([]) == []
+
+
+def test_every_plain_letter():
+    letters = [chr(i) for i in range(0x250) if chr(i).isalpha()]
+    texts = [t for c in letters for t in (c, f"{c}{c}", f"w{c}rt{c}", f"W{c}RT.", f"{c}\u0301 {c}\n\u0308.")]
+    plain = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    encode = PieceEncoder("word_bpe_49k.json", False)
+    assert [ids.tolist() for ids in encode(texts)] == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    special = ["<|STARTOFTEXT|> <|EndOfText|>", "<|endoftext|> Word", "x<|startoftext|>.", "a\u00a0b \x1cC \x85 \u2028d ẞ K Å İ H\u0331"]
+    assert [ids.tolist() for ids in encode(special)] == [e.ids for e in plain.encode_batch(special, add_special_tokens=False)]
+
+
 @pytest.mark.parametrize("name, spaces", FILES)
 def test_worker_gives_up_the_encoder_of_a_stage_that_is_over(name, spaces):
     own = encoder(name, spaces)
