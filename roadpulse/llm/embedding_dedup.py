@@ -1,35 +1,43 @@
 """Near-duplicate embeddings through an inverted multi-index.
 
 Two codebooks, one for each half of the unit vectors, form a grid of cells. Every vector is
-stored in the cell of its nearest codewords. As a query it visits cells in the order of the sum
-of two lower bounds (how near the cell's halves can come) and stops where no vector of a cell
-can reach the threshold any more, so the traversal ends at a recall of 1 rather than at a
-number of cells. Candidates are verified by the cosine in double precision.
+stored once, in the cell of its nearest codewords; vectors of neighbouring cells share a pack of
+at most ``PACK``. As queries the vectors of a pack walk together over the cells in the order of
+the sum of two lower bounds (how near the cell's halves can come) and stop where no vector of a
+cell can reach the threshold any more, so the traversal ends at a recall of 1 rather than at a
+number of cells. In each cell only the queries whose own bounds reach it are compared, by the
+cosine in double precision.
 
 Only vectors of one label and one length are compared. Every length has codebooks of its own,
 fitted on a bounded sample (``SAMPLE``); they only steer the traversal: bounds hold for any
-codebook. Cells are split into packs of at most ``PACK`` vectors; a pair of packs
-is one task's matrix product, so a crowded cell is many small products. A product returns the
-numbers of links and a spanning set of edges per group of linked vectors, not every pair.
-Equal vectors of a label are one node with a weight.
+codebook. What travels does not follow the number of cells that are visited: packs are dealt to
+the blocks of a square per label, and a task holds one block's packs while those of another pass
+by. A label has blocks by its part of all pairs (``SHARES``), so a pack is copied at most
+``sqrt(2 * SHARES) + 2`` times whatever the size of the table. Every pair of packs meets once and
+counts for both sides; it returns the numbers of links and a spanning set of edges per group of
+linked vectors, not every pair. Equal vectors of a label are one node with a weight.
 
 Defined results: a row without label, or whose vector is null, zero, holds null or non-finite
 components, links with nothing and is its own component; rows without vec_id take part and their component's id is its smallest id; an empty table gives an
 empty result; further columns are ignored.
 """
 
+from math import ceil, sqrt
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import components, materialize
+from roadpulse.llm.common import components, materialize, shuffle_tasks
 
 #: Vectors that codebooks are fitted on: shared by all lengths, and the least of one length.
 SAMPLE, LEAST_SAMPLE = 4_096, 256
 PACK = 1_024
 PER_CELL = 100
-PACKS_AT_ONCE = 64
+PACKS_AT_ONCE = 16
+#: Tasks that the pairs of packs are shared out to, about.
+SHARES = 16
 
 _LINKS = "a long, b long, n long"
 
@@ -61,7 +69,10 @@ def bounds(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def visited(first: np.ndarray, second: np.ndarray, most: float):
-    """Cells in the order of the sum of both bounds, up to ``most``: a multi-sequence walk of one query."""
+    """Cells in the order of the sum of both bounds, up to ``most``: a multi-sequence walk of one query.
+
+    The walk of a pack has the least bounds of its queries.
+    """
     i, j = np.argsort(first, kind="stable"), np.argsort(second, kind="stable")
     i, j = i[first[i] <= most], j[second[j] <= most]
     sums = first[i][:, None] + second[j][None]
@@ -70,24 +81,52 @@ def visited(first: np.ndarray, second: np.ndarray, most: float):
     return i[a[order]], j[b[order]]
 
 
-def _matrix(parts) -> np.ndarray:
-    return np.array([np.frombuffer(p, np.float32) for p in parts])
-
-
 def _unit(matrix: np.ndarray) -> np.ndarray:
     wide = matrix.astype(float)
     return wide / np.sqrt((wide**2).sum(1))[:, None]
 
 
-def linked(queries: tuple, stored: tuple, threshold: float) -> pd.DataFrame:
-    """Links of a pack of queries with a pack of stored vectors: (a, null, number) and spanning edges (a, b, 0)."""
-    (q_ids, q), (s_ids, s, weights) = queries, stored
-    found = (_unit(q) @ _unit(s).T >= threshold) & (q_ids[:, None] != s_ids[None])
-    counts = (found * weights[None]).sum(1)
+class Pack:
+    """Vectors of neighbouring cells of a label, sorted by cell."""
+
+    def __init__(self, nodes: bytes, weights: bytes, cells: bytes, vectors: bytes):
+        self.nodes, self.weights, self.cells = (np.frombuffer(x, np.int64) for x in (nodes, weights, cells))
+        self.unit = _unit(np.frombuffer(vectors, np.float32).reshape(len(self.nodes), -1))
+
+    def runs(self):
+        """Each cell with the range of its vectors."""
+        cuts = np.flatnonzero(np.r_[True, self.cells[1:] != self.cells[:-1], True])
+        return zip(self.cells[cuts[:-1]].tolist(), cuts[:-1].tolist(), cuts[1:].tolist())
+
+    def walk(self, first: np.ndarray, second: np.ndarray, most: float) -> None:
+        """What the pack's queries visit: the cells of their common walk, and each query's bounds."""
+        half = first.shape[1]
+        self.near = [np.ascontiguousarray(bounds(part, book)[1].T) for part, book in ((self.unit[:, :half], first), (self.unit[:, half:], second))]
+        i, j = visited(self.near[0].min(1), self.near[1].min(1), most)
+        self.columns = len(second)
+        self.open = np.zeros(len(first) * len(second), bool)
+        self.open[i * len(second) + j] = True
+
+
+def reached(queries: Pack, stored: Pack, most: float, threshold: float) -> np.ndarray:
+    """Which queries link with which stored vectors; only cells that a query visits are compared with it."""
+    found = np.zeros((len(queries.nodes), len(stored.nodes)), bool)
+    for cell, start, end in stored.runs():
+        if queries.open[cell]:
+            own = np.flatnonzero(queries.near[0][cell // queries.columns] + queries.near[1][cell % queries.columns] <= most)
+            found[own, start:end] = queries.unit[own] @ stored.unit[start:end].T >= threshold
+    return found & (queries.nodes[:, None] != stored.nodes[None])
+
+
+def linked(queries: Pack, stored: Pack, found: np.ndarray, both: bool) -> pd.DataFrame:
+    """Links of two packs: (a, null, number) of the queries, and with ``both`` of the stored vectors; spanning edges (a, b, 0)."""
     rows, columns = found.any(1), found.any(0)
     if not rows.any():
         return pd.DataFrame({"a": [], "b": [], "n": []})
-    found, q_own, s_own = found[rows][:, columns], q_ids[rows], s_ids[columns]
+    found, q_own, s_own = found[rows][:, columns], queries.nodes[rows], stored.nodes[columns]
+    counts = [(q_own, (found * stored.weights[columns][None]).sum(1))]
+    if both:
+        counts.append((s_own, (found * queries.weights[rows][:, None]).sum(0)))
     top = np.iinfo(np.int64).max
     labels = q_own.copy()
     while True:  # smallest query of each group of linked vectors
@@ -96,14 +135,37 @@ def linked(queries: tuple, stored: tuple, threshold: float) -> pd.DataFrame:
         if (left >= labels).all():
             break
         labels = np.minimum(labels, left)
-    a = np.concatenate([q_own, q_own, s_own])
-    b = np.concatenate([np.full(len(q_own), -1), labels, right])
-    n = np.concatenate([counts[rows], np.zeros(len(labels) + len(right), np.int64)])
+    a = np.concatenate([*[nodes for nodes, _ in counts], q_own, s_own])
+    b = np.concatenate([*[np.full(len(nodes), -1) for nodes, _ in counts], labels, right])
+    n = np.concatenate([*[number for _, number in counts], np.zeros(len(labels) + len(right), np.int64)])
     out = pd.DataFrame({"a": a, "b": pd.array(b, dtype="Int64"), "n": n})
     out.loc[out["b"] == -1, "b"] = pd.NA
     return out[out["a"] != out["b"].fillna(-1)]
 
 
+def paired(packs: DataFrame) -> DataFrame:
+    """Every two packs of a label once, and each pack with itself: its columns, as q_* for the queries.
+
+    The packs of a label are dealt to ``blocks``, and each pair of blocks is one key of the join.
+    Only labels with more than a share of all pairs have several blocks; at most twice ``SHARES``
+    of them exist.
+    """
+    sizes = packs.groupBy("label").agg(F.count(F.lit(1)).alias("packs"))
+    squares, pairs = sizes.agg(F.sum(F.col("packs").cast("double") * F.col("packs")), F.sum(F.col("packs") * (F.col("packs") + 1) / 2)).first()
+    large = sizes.where(F.col("packs").cast("double") * F.col("packs") * 2 * SHARES > squares).collect()
+    blocks = [(r.label, min(r.packs, ceil(sqrt(2 * SHARES * r.packs**2 / squares)))) for r in large]
+    blocks = packs.sparkSession.createDataFrame(blocks, "label string, blocks int")
+    dealt = packs.join(F.broadcast(blocks), "label", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("pack"), F.col("blocks")).cast("int"))
+    tasks, key = int(min(pairs, 2 * SHARES)), ["label", "one", "other"]
+    own = [c for c in packs.columns if c != "label"]
+    queries = dealt.withColumns({"one": F.col("block"), "other": F.explode(F.sequence(F.col("block"), F.col("blocks") - 1))})
+    stored = dealt.withColumns({"one": F.explode(F.sequence(F.lit(0), F.col("block"))), "other": F.col("block")})
+    queries = queries.select(*key, *[F.col(c).alias(f"q_{c}") for c in own]).repartition(tasks, *key)
+    pairs = queries.join(stored.select(*key, *own).repartition(tasks, *key), key)
+    return pairs.where("one < other or q_pack <= pack").drop("one", "other")
+
+
 def _codebooks(nodes: DataFrame, lengths: dict) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """Both codebooks of every length, from vectors with small hashes."""
     most, space = max(LEAST_SAMPLE, SAMPLE // len(lengths)), 1 << 40
@@ -143,70 +205,50 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     def place(batches):
         for mixed in batches:
             for length, pdf in mixed.groupby(mixed["embedding"].map(len)):
-                yield placed_in(pdf, *books.value[length])
-
-    def placed_in(pdf, first, second):
-        raw = np.array(list(pdf["embedding"]), np.float32)
-        unit, half = _unit(raw), first.shape[1]
-        (own_1, near_1), (own_2, near_2) = bounds(unit[:, :half], first), bounds(unit[:, half:], second)
-        out = {"label": [], "cell": [], "stored": [], "node": [], "weight": [], "vector": []}
-
-        def put(k, cells, stored):
-            out["label"] += [pdf["label"].iat[k]] * len(cells)
-            out["cell"] += list(cells)
-            out["stored"] += [stored] * len(cells)
-            out["node"] += [pdf["node"].iat[k]] * len(cells)
-            out["weight"] += [pdf["weight"].iat[k]] * len(cells)
-            out["vector"] += [raw[k].tobytes()] * len(cells)
-
-        for k in range(len(pdf)):
-            put(k, [own_1[k] * len(second) + own_2[k]], True)
-            i, j = visited(near_1[k], near_2[k], most)
-            put(k, i * len(second) + j, False)
-        return pd.DataFrame(out)
-
-    placed = nodes.select("label", "node", "weight", "embedding").mapInPandas(place, "label string, cell long, stored boolean, node long, weight long, vector binary")
-    placed = materialize(placed)
-    counts = placed.groupBy("label", "cell", "stored").agg(F.ceil(F.count(F.lit(1)) / PACK).alias("packs"))
-    spread = placed.join(counts, ["label", "cell", "stored"]).withColumn("pack", F.pmod(F.xxhash64("node"), F.col("packs")))
+                first, second = books.value[length]
+                raw = np.array(list(pdf["embedding"]), np.float32)
+                unit, half = _unit(raw), first.shape[1]
+                cells = bounds(unit[:, :half], first)[0] * len(second) + bounds(unit[:, half:], second)[0]
+                yield pdf[["label", "node", "weight"]].assign(cell=cells, vector=[v.tobytes() for v in raw])
 
     def bundle(batches):
         held, current = [], None
         for pdf in batches:
             for row in pdf.itertuples(index=False):
-                key = (row.label, row.cell, row.stored, row.pack)
-                if held and (key != current or len(held) == PACK):
+                if held and (row.label != current or len(held) == PACK):
                     yield bundled(current, held)
                     held = []
-                current = key
+                current = row.label
                 held.append(row)
         if held:
             yield bundled(current, held)
 
-    def bundled(key, held):
-        nodes_, weights = np.array([r.node for r in held], np.int64), np.array([r.weight for r in held], np.int64)
-        return pd.DataFrame({"label": [key[0]], "cell": [key[1]], "stored": [key[2]], "nodes": [nodes_.tobytes()], "weights": [weights.tobytes()], "vectors": [b"".join(r.vector for r in held)]})
+    def bundled(label, held):
+        nodes_, weights, cells = (np.array(x, np.int64).tobytes() for x in zip(*[(r.node, r.weight, r.cell) for r in held]))
+        return pd.DataFrame({"label": [label], "nodes": [nodes_], "weights": [weights], "cells": [cells], "vectors": [b"".join(r.vector for r in held)]})
 
-    packs = materialize(
-        spread.repartition("label", "cell", "stored", "pack")
-        .sortWithinPartitions("label", "cell", "stored", "pack", "node")
-        .select("label", "cell", "stored", "pack", "node", "weight", "vector")
-        .mapInPandas(bundle, "label string, cell long, stored boolean, nodes binary, weights binary, vectors binary")
+    placed = nodes.select("label", "node", "weight", "embedding").mapInPandas(place, "label string, node long, weight long, cell long, vector binary")
+    packs = (
+        placed.repartitionByRange(shuffle_tasks(spark), "label", "cell", "node")
+        .sortWithinPartitions("label", "cell", "node")
+        .mapInPandas(bundle, "label string, nodes binary, weights binary, cells binary, vectors binary")
     )
-    queries = packs.where("not stored").select("label", "cell", F.col("nodes").alias("q_nodes"), F.col("vectors").alias("q_vectors"))
-    stored = packs.where("stored").select("label", "cell", "nodes", "weights", "vectors")
+    packs = materialize(packs.withColumn("pack", F.monotonically_increasing_id()))
 
     def verify(batches):
+        number, queries = None, None
         for pdf in batches:
             for r in pdf.itertuples(index=False):
-                q_ids, s_ids = np.frombuffer(r.q_nodes, np.int64), np.frombuffer(r.nodes, np.int64)
-                q, s = np.frombuffer(r.q_vectors, np.float32).reshape(len(q_ids), -1), np.frombuffer(r.vectors, np.float32).reshape(len(s_ids), -1)
-                yield linked((q_ids, q), (s_ids, s, np.frombuffer(r.weights, np.int64)), threshold)
+                if number != r.q_pack:
+                    number, queries = r.q_pack, Pack(r.q_nodes, r.q_weights, r.q_cells, r.q_vectors)
+                    queries.walk(*books.value[queries.unit.shape[1]], most)
+                stored = queries if r.pack == number else Pack(r.nodes, r.weights, r.cells, r.vectors)
+                yield linked(queries, stored, reached(queries, stored, most, threshold), stored is not queries)
 
     setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(setting)
     spark.conf.set(setting, str(PACKS_AT_ONCE))
-    found = materialize(queries.join(stored, ["label", "cell"]).drop("label", "cell").mapInPandas(verify, _LINKS))
+    found = materialize(paired(packs).drop("label").mapInPandas(verify, _LINKS))
     spark.conf.set(setting, before)
     numbers = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     roots = components(found.where("b is not null").select("a", "b"))

@@ -6,6 +6,7 @@ from collections import Counter
 import brute
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from roadpulse.llm import catalog, common, embedding_dedup, ngram_join, substring_dedup
 from roadpulse.llm.common import components
@@ -151,6 +152,37 @@ def test_embeddings_of_several_lengths(spark):
     assert sum(n > 0 for i, n, _, _ in got if i < 8000) > 100
 
 
+@pytest.mark.parametrize("labels", [1, 3, 200])
+def test_packs_meet_once_and_are_copied_a_bounded_number_of_times(spark, labels):
+    """Vectors are not copied to the cells that they visit: however many packs a label has, its blocks bound the copies."""
+    packs = spark.range(400).select((F.col("id") % labels).cast("string").alias("label"), F.col("id").alias("pack"))
+    pairs = embedding_dedup.paired(packs)
+    got = Counter(tuple(sorted((r.q_pack, r.pack))) for r in pairs.collect())
+    assert got == Counter((a, b) for a in range(400) for b in range(a, 400) if a % labels == b % labels)
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan
+    blocks = int((2 * embedding_dedup.SHARES) ** 0.5) + 1
+    at = pairs.select("q_pack", F.spark_partition_id().alias("task")).distinct().groupBy("q_pack").count()
+    assert at.agg(F.max("count")).first()[0] <= blocks
+
+
+def test_vectors_are_stored_once(spark, monkeypatch):
+    written = []
+
+    def stored(frame):
+        written.append((frame.columns, frame.count()))
+        return common.materialize(frame)
+
+    monkeypatch.setattr(embedding_dedup, "materialize", stored)
+    monkeypatch.setattr(embedding_dedup, "PACK", 32)
+    rng = np.random.default_rng(4)
+    rows = [(i, 1, rng.normal(size=16).astype(np.float32).tolist()) for i in range(400)]
+    embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>")).collect()
+    vectors = [number for columns, number in written if "vector" in columns or "embedding" in columns]
+    packs = [number for columns, number in written if "vectors" in columns]
+    assert sum(vectors) == 400 and len(packs) == 1 and 400 / 32 <= packs[0] <= 400 / 32 + 8
+
+
 def test_traversal_misses_nothing():
     rng = np.random.default_rng(3)
     unit = rng.normal(size=(3000, 6)) + np.eye(6)[rng.integers(6, size=3000)] * 4
