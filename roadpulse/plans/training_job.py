@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from roadpulse.ml import evaluate, train
 from roadpulse.ml.features import training_rows
-from roadpulse.ml.score import score
-from roadpulse.session import as_of_column, prepare, spread
+from roadpulse.ml.score import arranged, score
+from roadpulse.session import as_of_column, prepare
 from roadpulse.sources.tables import read_processed
 from roadpulse.streaming.processing import TablePaths
 
@@ -40,4 +40,4 @@ def run_evaluation(
     if unseen_only:
         last_seen = models.metadata["congestion_classifier"]["max_processed_at"]
         rows = rows.where(F.col("processed_at") > as_of_column(last_seen))
-    return evaluate.evaluation_report(score(spread(rows), models))
+    return evaluate.evaluation_report(score(arranged(rows), models))

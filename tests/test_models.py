@@ -228,5 +228,29 @@ def test_training_uses_several_tasks_and_does_not_follow_the_layout(table):
     assert sum(len(part) for part in one) == rows.count()
 
 
+def test_forest_keeps_nodes_and_rows_are_cleaned_once(spark, table, monkeypatch):
+    """The settings of the trees are unchanged; what training reads many times is narrow and over all cores."""
+    assert train.classifier().getCacheNodeIds() and train.classifier(SMALL["classifier_params"]).getCacheNodeIds()
+    rows = train.training_input(table.coalesce(1).withColumn("payload", F.lit("x")), AS_OF)
+    assert "payload" not in rows.columns and {"label", "processed_at", "data_as_of", "borough"} <= set(rows.columns)
+    assert rows.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    seen = []
+    monkeypatch.setattr(train, "_fit_all", lambda labelled, *rest: seen.append(labelled._jdf.queryExecution().withCachedData().toString()))
+    train.train(table, AS_OF)
+    assert seen[0].startswith("InMemoryRelation")
+
+
+def test_rows_are_arranged_by_their_inputs(spark, models, table):
+    """Like rows follow each other; which rows there are and what is predicted does not change."""
+    parts = score.arranged(table.coalesce(1)).select("latitude", "longitude").rdd.glom().collect()
+    assert len(parts) >= spark.sparkContext.defaultParallelism and sum(map(len, parts)) == table.count()
+    for part in parts:
+        keys = [(r.latitude is not None, r.latitude or 0.0, r.longitude) for r in part]
+        assert keys == sorted(keys)
+    columns = ["record_id", *score.PREDICTION_COLUMNS]
+    some = table.limit(500)
+    assert sorted(score.score(score.arranged(some), models).select(*columns).collect()) == sorted(score.score(some, models).select(*columns).collect())
+
+
 def test_scoring_uses_all_cores(spark, table):
     assert spread(table.coalesce(1)).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
