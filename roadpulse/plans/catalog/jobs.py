@@ -13,10 +13,11 @@ from roadpulse.plans import hourly_job
 from roadpulse.plans.catalog.core import query
 from roadpulse.plans.catalog.models import ORDERED
 from roadpulse.plans.catalog.streams import place
-from roadpulse.plans.fixtures import AS_OF
+from roadpulse.plans.fixtures import AS_OF, json_messages
 from roadpulse.plans.oracle import AS_OF as NOW
 from roadpulse.plans.oracle import pct, rd
 from roadpulse.schema import RAW_FIELDS
+from roadpulse.session import spread
 from roadpulse.sources import envelope, rest, sinks, tables
 from roadpulse.streaming import late, routing
 from roadpulse.streaming.processing import TablePaths
@@ -186,11 +187,12 @@ def x6(t):
     """Messages in several deliveries: rows older than their link's newest earlier one less three days."""
     root = place(t)
     delivery = F.floor(F.col("offset") / 1000) % LATE_GROUPS
+    messages, paths = json_messages(spread(t.events)), TablePaths(f"{root}/tables")
     for k in range(LATE_GROUPS):
-        t.messages.where(delivery == k).coalesce(1).write.mode("append").parquet(f"{root}/topic")
-    paths = TablePaths(f"{root}/tables")
-    stream = envelope.stream_files(t.spark, f"{root}/topic", "parquet")
-    late.start_late_split(stream, paths, f"{root}/checkpoint", LATE_DELAY_S, once=True).awaitTermination()
+        # all files of a delivery are one micro-batch
+        messages.where(delivery == k).write.mode("append").parquet(f"{root}/topic")
+        stream = envelope.stream_files(t.spark, f"{root}/topic", "parquet", max_files=1_000_000)
+        late.start_late_split(stream, paths, f"{root}/checkpoint", LATE_DELAY_S, once=True).awaitTermination()
     on_time = tables.read_processed(t.spark, paths.on_time).select("kafka_offset", F.lit(False).alias("is_late"))
     return on_time.unionByName(tables.read_processed(t.spark, paths.late).select("kafka_offset", F.lit(True).alias("is_late")))
 

@@ -13,13 +13,22 @@ from roadpulse.streaming.processing import TablePaths, processed_stream, with_tr
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Groups that links are dealt to. Handing a group to Python costs far more than its rows do, so a
+#: link is no group of its own.
+LINK_GROUPS = 256
+
+
+def _whole(values: pd.Series) -> list:
+    """Microseconds as whole numbers, None where there is none."""
+    return [None if pd.isna(us) else int(us) for us in values.tolist()]
 
 
 class LateReadings(StatefulProcessor):
     """Marks rows older than the newest one of earlier batches less the delay.
 
-    The state of a link is one number. Rows of the running batch do not move the mark, so their
-    order inside the batch does not matter, and a link's rows are never held together.
+    The state of a link is one number; those of a group's links lie side by side. Rows of the running
+    batch do not move the mark, so their order inside the batch does not matter, and a link's rows are
+    never held together.
     """
 
     def __init__(self, delay_s: float, columns: list[str]):
@@ -27,19 +36,21 @@ class LateReadings(StatefulProcessor):
         self.delay_us = int(delay_s * 1_000_000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.newest = handle.getValueState("newest", "at_us long")
+        self.newest = handle.getValueState("newest", "links array<string>, at_us array<long>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        before = self.newest.get()[0] if self.newest.exists() else None
-        newest = before
+        before = dict(zip(*self.newest.get())) if self.newest.exists() else {}
+        newest = dict(before)
         for pdf in rows:
-            at = pdf["at_us"]
-            late = (at < before - self.delay_us) if before is not None else pd.Series(False, pdf.index)
-            if at.notna().any():
-                newest = max(int(at.max()), newest if newest is not None else int(at.max()))
-            yield pdf[self.columns].assign(is_late=late.fillna(False).astype(bool))
-        if newest is not None:
-            self.newest.update((newest,))
+            marks = {link: before[link] - self.delay_us for link in pdf["state_link"].unique() if link in before}
+            late = [link in marks and us is not None and us < marks[link] for link, us in zip(pdf["state_link"], _whole(pdf["at_us"]))]
+            timed = pdf[["state_link", "at_us"]].dropna()
+            for link, us in zip(timed["state_link"], _whole(timed["at_us"])):
+                if link not in newest or us > newest[link]:
+                    newest[link] = us
+            yield pdf[self.columns].assign(is_late=late)
+        if newest != before:
+            self.newest.update((list(newest), list(newest.values())))
 
     def close(self) -> None:
         pass
@@ -47,7 +58,8 @@ class LateReadings(StatefulProcessor):
 
 def with_lateness(processed: DataFrame, delay_s: float) -> DataFrame:
     """The stream with ``is_late``; rows without a link share a mark, rows without a time are on time."""
-    keyed = processed.withColumns({"state_key": F.coalesce("link_id", F.lit("")), "at_us": F.unix_micros("data_as_of_parsed")})
+    link = F.coalesce("link_id", F.lit(""))
+    keyed = processed.withColumns({"state_key": F.pmod(F.xxhash64(link), F.lit(LINK_GROUPS)).cast("int"), "state_link": link, "at_us": F.unix_micros("data_as_of_parsed")})
     schema = T.StructType(processed.schema.fields + [T.StructField("is_late", T.BooleanType())])
     return keyed.groupBy("state_key").transformWithStateInPandas(LateReadings(delay_s, processed.columns), outputStructType=schema, outputMode="Append", timeMode="None")
 

@@ -39,6 +39,21 @@ def test_late_rows_are_kept_apart_over_restarts(spark, tmp_path):
     assert ids(tables.read_processed(spark, paths.on_time)) == ["a", "edge", "new", "old", "other", "timeless"]
 
 
+def test_links_share_groups_but_not_their_marks(spark, tmp_path):
+    """Many links are few groups of state, and each link still has a mark of its own."""
+    folder, paths, cp = str(tmp_path / "topic"), TablePaths(str(tmp_path / "t")), str(tmp_path / "cp")
+    times = [f"2024-02-{1 + k % 20:02d}T10:00:00" for k in range(600)]
+    write_envelope(folder, "1", envelope_rows([variant(id=f"a{k}", link_id=f"L{k}", data_as_of=times[k]) for k in range(600)]))
+    deliver(spark, folder, paths, cp, delay_s=3600)
+    again = [variant(id=f"b{k}", link_id=f"L{k}", data_as_of="2024-02-10T09:30:00") for k in range(600)]
+    write_envelope(folder, "2", envelope_rows(again, start=1000))
+    query = late.start_late_split(envelope.stream_files(spark, folder), paths, cp, once=True, delay_s=3600)
+    assert query.awaitTermination(180)
+    assert ids(tables.read_processed(spark, paths.late)) == sorted(f"b{k}" for k in range(600) if times[k] >= "2024-02-11")
+    assert tables.read_processed(spark, paths.on_time).count() + tables.read_processed(spark, paths.late).count() == 1200
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]) <= 256
+
+
 def processed(spark, n=500):
     at = F.timestamp_seconds(F.col("id") * 1000 + 1_704_067_200)
     level = F.element_at(F.array(F.lit("SEVERE"), F.lit("FREE_FLOW"), F.lit("MODERATE")), (F.col("id") % 3 + 1).cast("int"))
